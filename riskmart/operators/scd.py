@@ -27,14 +27,16 @@ def scd2_start(batch: DataFrame, key: str, tracked: Sequence[str], as_of, surrog
 
 
 def scd2_apply(dim: DataFrame, batch: DataFrame, key: str, tracked: Sequence[str], as_of, surrogate: str,
-               latest_by: Sequence[str] | None = None) -> DataFrame:
+               latest_by: Sequence[str] | None = None, attributes: Sequence[str] | None = None) -> DataFrame:
     """Close current rows whose tracked attributes changed, add one new version each, add rows for new keys.
 
     Changes are compared NULL-safely. Keys missing from the batch stay as they are. History is carried along untouched,
-    only the current rows take part in the join.
+    only the current rows take part in the join. A new version stores ``attributes`` (default: the tracked ones), so a
+    caller may watch a few attributes and still replace all of them.
     """
-    rows = one_per_key(batch.select(key, *tracked, *(latest_by or ())), [key], latest_by)
-    rows = rows.select(key, *tracked).withColumn("_b", F.lit(1)).alias("b")
+    stored = list(attributes or tracked)
+    rows = one_per_key(batch.select(key, *stored, *(latest_by or ())), [key], latest_by)
+    rows = rows.select(key, *stored).withColumn("_b", F.lit(1)).alias("b")
     current = dim.filter("IsCurrent = 1").alias("d")
     joined = current.join(rows, F.col(f"d.{key}") == F.col(f"b.{key}"), "full")
     known, seen = F.col("d.IsCurrent").isNotNull(), F.col("b._b").isNotNull()
@@ -47,7 +49,7 @@ def scd2_apply(dim: DataFrame, batch: DataFrame, key: str, tracked: Sequence[str
         F.col("d.effective_start"),
         F.when(changed, day).alias("effective_end"),
     )
-    fresh = joined.filter(seen & (~known | changed)).select(F.col(f"b.{key}"), *[F.col(f"b.{c}") for c in tracked])
+    fresh = joined.filter(seen & (~known | changed)).select(F.col(f"b.{key}"), *[F.col(f"b.{c}") for c in stored])
     fresh = dense_key(fresh, [key], surrogate, next_key(dim, surrogate)).withColumns({
         "IsCurrent": F.lit(1),
         "effective_start": day,
@@ -63,20 +65,6 @@ def scd2_as_of(dim: DataFrame, ts) -> DataFrame:
     return dim.filter((F.col("effective_start") <= at) & (F.col("effective_end").isNull() | (at < F.col("effective_end"))))
 
 
-def merge_attributes(dim: DataFrame, changes: DataFrame, key: str, attributes: Sequence[str], as_of,
-                     surrogate: str) -> DataFrame:
-    """Versioned change of a few attributes; all the others are carried over from the current row.
-
-    A change row carries the whole new values of ``attributes``; keys without a current row are left out.
-    """
-    current = dim.filter("IsCurrent = 1")
-    rest = [c for c in dim.columns if c not in (surrogate, key, *PERIOD)]
-    carried = [c for c in rest if c not in attributes]
-    batch = changes.alias("n").join(current.alias("d"), F.col(f"n.{key}") == F.col(f"d.{key}")).select(
-        F.col(f"n.{key}"), *[F.col(f"n.{c}") for c in attributes], *[F.col(f"d.{c}") for c in carried])
-    return scd2_apply(dim, batch, key, rest, as_of, surrogate)
-
-
 def current_rows(dim: DataFrame) -> DataFrame:
     return dim.filter("IsCurrent = 1")
 
@@ -87,4 +75,4 @@ def one_current_each(dim: DataFrame, key: str) -> DataFrame:
     return dim.groupBy(key).agg(n.alias("n_current")).filter("n_current > 1")
 
 
-__all__ = ["scd2_start", "scd2_apply", "scd2_as_of", "merge_attributes", "current_rows", "one_current_each"]
+__all__ = ["scd2_start", "scd2_apply", "scd2_as_of", "current_rows", "one_current_each"]

@@ -6,7 +6,7 @@ import importlib
 
 from riskmart.queries.registry import ORACLE, QUERIES
 
-FAMILIES = ("scores",)
+FAMILIES = ("load", "keys", "scores")
 
 for _family in FAMILIES:
     importlib.import_module(f"riskmart.queries.{_family}")

@@ -188,14 +188,14 @@ def s5(t):
 
 PROFILE_HISTORY = """
 SELECT CustomerID AS CustomerSK, CAST(EXTRACT(YEAR FROM LoanDate) * 10000 + EXTRACT(MONTH FROM LoanDate) * 100 + EXTRACT(DAY FROM LoanDate) AS INT) AS DateID,
- CAST(MAX(RowKey % 9000) / CAST(100 AS DOUBLE) AS DECIMAL(5,2)) AS AggregateRiskScore FROM stg_loan WHERE CustomerID % 3 <> 0 GROUP BY 1, 2"""
+ CAST(MAX(RowKey % 9000) / CAST(100 AS DOUBLE) AS DECIMAL(5,2)) AS AggregateRiskScore FROM stg_loan WHERE HomeOwnershipStatus <> 'Rent' GROUP BY 1, 2"""
 
 
 def history_of(t: Inputs):
-    """Earlier profile rows: a deterministic score per customer and loan day, two thirds of the customers."""
+    """Earlier profile rows: a score per customer and loan day; customers who rent have none."""
     day = date_id("LoanDate").alias("DateID")
     worst = (F.max(F.col("RowKey") % 9000) / F.lit(100.0)).cast("decimal(5,2)").alias("AggregateRiskScore")
-    return loans_of(t).filter("CustomerSK % 3 <> 0").groupBy("CustomerSK", day).agg(worst)
+    return loans_of(t).filter("HomeOwnershipStatus <> 'Rent'").groupBy("CustomerSK", day).agg(worst)
 
 
 PREVIOUS = f"""
