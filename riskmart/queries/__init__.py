@@ -6,7 +6,7 @@ import importlib
 
 from riskmart.queries.registry import ORACLE, QUERIES
 
-FAMILIES = ("load", "keys", "scores")
+FAMILIES = ("load", "keys", "marts", "scores", "runlog")
 
 for _family in FAMILIES:
     importlib.import_module(f"riskmart.queries.{_family}")
