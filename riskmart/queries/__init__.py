@@ -6,7 +6,7 @@ import importlib
 
 from riskmart.queries.registry import ORACLE, QUERIES
 
-FAMILIES = ("load", "keys", "marts", "scores", "runlog", "validate")
+FAMILIES = ("load", "conform", "keys", "marts", "scores", "runlog", "validate", "repair")
 
 for _family in FAMILIES:
     importlib.import_module(f"riskmart.queries.{_family}")
