@@ -6,7 +6,7 @@ import importlib
 
 from riskmart.queries.registry import ORACLE, QUERIES
 
-FAMILIES = ("load", "conform", "keys", "marts", "scores", "runlog", "validate", "repair", "ifrs9")
+FAMILIES = ("load", "conform", "keys", "marts", "scores", "runlog", "validate", "repair", "ifrs9", "reports")
 
 for _family in FAMILIES:
     importlib.import_module(f"riskmart.queries.{_family}")
