@@ -80,6 +80,19 @@ def clamp(value: Column, low=None, high=None) -> Column:
     return F.when(value.isNotNull(), out)
 
 
+def round_even(value: str | Column, scale: int = 0) -> Column:
+    """Round a double half to even on its binary value: scale up, round to the nearest whole, scale down."""
+    return F.rint(col(value) * float(10**scale)) / float(10**scale)
+
+
+def pearson(a: str | Column, b: str | Column) -> Column:
+    """Correlation over the rows where both are present; NULL when one of them does not vary (``corr`` fails there)."""
+    x, y = col(a).cast("double"), col(b).cast("double")
+    both = x.isNotNull() & y.isNotNull()
+    x, y = F.when(both, x), F.when(both, y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def is_blank(c: str | Column) -> Column:
     v = col(c)
     return v.isNull() | (F.trim(v) == "")

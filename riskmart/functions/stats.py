@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,24 +11,24 @@ from pyspark.sql import functions as F
 BINS = 2048
 
 
-def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, dict[float, float | None]]:
-    """Exact linearly interpolated quantiles of numeric columns.
+def order_statistics(df: DataFrame, ranks: Mapping[str, Callable[[int], Iterable[int]]]) -> tuple[dict[str, int], dict[tuple[str, int], float]]:
+    """(number of values per column, value at each wanted rank). ``ranks`` maps a column to ``n -> zero-based ranks``.
 
     The built-in exact ``percentile`` keeps every distinct value of a column in one task. Here each pass counts values
     in equal bins of the interval known to hold the wanted rank and zooms into one bin, until the bin holds a single
     value. A pass is one map-side combined aggregate over the narrow columns and brings back at most ``BINS`` counts
     per open rank; a few passes suffice because every pass shrinks the interval about two-thousand-fold.
     """
-    cols = list(cols)
+    cols = list(ranks)
     if not cols:
-        return {}
+        return {}, {}
     values = df.select(*[_number(c) for c in cols])
     first = values.agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(cols) for n, f in (("n", F.count), ("a", F.min), ("b", F.max))]).first()
+    sizes = {c: first[f"n{i}"] for i, c in enumerate(cols)}
     known: dict[tuple[str, int], float] = {}
     open_: dict[tuple[str, int], tuple[float, float, int]] = {}
     for i, c in enumerate(cols):
-        n = first[f"n{i}"]
-        for rank in _ranks(n, probs):
+        for rank in set(ranks[c](sizes[c])) if sizes[c] else ():
             _place(known, open_, (c, rank), first[f"a{i}"], first[f"b{i}"], 0)
     while open_:
         spans = sorted({(c, lo, hi) for (c, _), (lo, hi, _) in open_.items()})
@@ -54,9 +54,19 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dic
                     _place(known, open_, (c, rank), r["lo"], r["hi"], below)
                     break
                 below += r["n"]
+    return sizes, known
+
+
+def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, dict[float, float | None]]:
+    """Exact linearly interpolated quantiles of numeric columns (None for a column without values)."""
+
+    def wanted(n: int) -> set[int]:
+        return {f((n - 1) * p) for p in probs for f in (math.floor, math.ceil)}
+
+    sizes, known = order_statistics(df, {c: wanted for c in cols})
     out: dict[str, dict[float, float | None]] = {}
-    for i, c in enumerate(cols):
-        n, out[c] = first[f"n{i}"], {}
+    for c in cols:
+        n, out[c] = sizes[c], {}
         for p in probs:
             if n == 0:
                 out[c][p] = None
@@ -72,10 +82,6 @@ def _number(c: str):
     return F.when(~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))), v).alias(c)
 
 
-def _ranks(n: int, probs: Iterable[float]) -> set[int]:
-    return {f((n - 1) * p) for p in probs for f in (math.floor, math.ceil)} if n else set()
-
-
 def _place(known, open_, key, lo, hi, below) -> None:
     if lo == hi:
         known[key] = lo
@@ -118,7 +124,8 @@ def distinct_counts(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
 def small_domains(df: DataFrame, cols: Sequence[str], limit: int) -> dict[str, list[str]]:
     """Distinct values (sorted) of those columns that have at most ``limit`` of them.
 
-    A first pass keeps only columns whose approximate count is near the limit, so no wide value set is ever counted.
+    A first pass drops columns whose approximate count is far above the limit, so no wide value set is counted exactly
+    and at most ``limit`` values per column reach the driver.
     """
     if not cols:
         return {}
@@ -126,10 +133,9 @@ def small_domains(df: DataFrame, cols: Sequence[str], limit: int) -> dict[str, l
     near = [c for i, c in enumerate(cols) if row[f"c{i}"] <= 2 * limit + 10]
     if not near:
         return {}
-    out: dict[str, list[str]] = {c: [] for c in near}
     counts = value_counts(df, near)
     few = counts.groupBy("column_name").agg(F.count("*").alias("d")).filter(F.col("d") <= limit)
+    out: dict[str, list[str]] = {}
     for r in counts.join(few, "column_name").select("column_name", "value").collect():
-        out[r["column_name"]].append(r["value"])
-    kept = {r["column_name"] for r in few.collect()}
-    return {c: sorted(v) for c, v in out.items() if c in kept or not v and row[f"c{list(cols).index(c)}"] == 0}
+        out.setdefault(r["column_name"], []).append(r["value"])
+    return {c: sorted(out[c]) for c in near if c in out}

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskmart.functions.expr import FALSE_TOKENS, TRUE_TOKENS, clamp
+from riskmart.functions.expr import FALSE_TOKENS, TRUE_TOKENS, clamp, round_even
 from riskmart.operators.keys import dense_key, rank_within
 from riskmart.sources.staging import parse_timestamp
 
@@ -42,8 +42,8 @@ def convert_type(df: DataFrame, source: str, to: T.DataType, as_of=None) -> Colu
     if isinstance(to, (T.DecimalType, T.DoubleType, T.FloatType)):
         out = F.coalesce(number, F.lit(0.0))
         if isinstance(to, T.DecimalType):
-            out = F.bround(out, to.scale)
-        return (F.bround(out, 2) if "ratio" in source.lower() else out).cast(to)
+            out = round_even(out, to.scale)
+        return (round_even(out, 2) if "ratio" in source.lower() else out).cast(to)
     if isinstance(to, (T.DateType, T.TimestampType)):
         if source == "report_date":
             parsed = F.make_date(number.cast("int"), F.lit(1), F.lit(1)).cast("timestamp")
@@ -100,9 +100,9 @@ def conform_constraints(df: DataFrame, dataset: str, schema: T.StructType, order
     for f in schema.fields:
         if f.name in df.columns and isinstance(df.schema[f.name].dataType, T.NumericType):
             if isinstance(f.dataType, T.DecimalType):
-                changes[f.name] = F.bround(F.col(f.name).cast("double"), f.dataType.scale)
+                changes[f.name] = round_even(F.col(f.name).cast("double"), f.dataType.scale)
             if f.name == "GDP":
-                changes[f.name] = F.bround(F.col(f.name).cast("double"), 0).cast("bigint")
+                changes[f.name] = round_even(F.col(f.name).cast("double")).cast("bigint")
     if dataset == "Loan" and "InterestRate" in df.columns:
         changes["InterestRate"] = clamp(changes.get("InterestRate", F.col("InterestRate").cast("double")), 0, 30)
     df = df.withColumns(changes)

@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.functions.expr import numeric_columns
+from riskmart.functions.expr import numeric_columns, pearson
 from riskmart.functions.stats import quantiles, value_counts
 from riskmart.schemas import LINEAGE
 
@@ -63,7 +63,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None, max_col
     """Pearson correlation of each pair (lower triangle), all pairs in one aggregate."""
     cols = list(cols) if cols is not None else numeric_columns(df)[:max_columns]
     pairs = [(b, a) for a, b in combinations(cols, 2)]
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    row = df.agg(*[pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     cells = [F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(pairs)]
     return row.select(F.inline(F.array(*cells)))
 

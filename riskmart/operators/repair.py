@@ -119,7 +119,7 @@ def fix_loan(df: DataFrame) -> DataFrame:
         changes["NumLoans"] = F.when(F.col("NumLoans") > 100, min(top, 20) if top is not None else 20).otherwise(n)
     for c in numeric_columns(df):
         if c.startswith("Num_") or "Count" in c or "Number" in c:
-            changes[c] = F.bround(clamp(F.col(c), low=0), 0)
+            changes[c] = F.rint(clamp(F.col(c).cast("double"), low=0))
     return _put(df, changes)
 
 
