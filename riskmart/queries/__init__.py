@@ -6,7 +6,7 @@ import importlib
 
 from riskmart.queries.registry import ORACLE, QUERIES
 
-FAMILIES = ("load", "clean", "conform", "keys", "marts", "scores", "runlog", "validate", "repair", "ifrs9", "reports")
+FAMILIES = ("load", "clean", "conform", "generate", "keys", "marts", "scores", "runlog", "validate", "repair", "ifrs9", "reports", "compose")
 
 for _family in FAMILIES:
     importlib.import_module(f"riskmart.queries.{_family}")
