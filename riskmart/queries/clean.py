@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskmart.operators import clean as C
+from riskmart.operators import knn as K
 from riskmart.queries.registry import Inputs, ctes, query
 
 
@@ -186,3 +187,60 @@ def p18(t):
         (F.col("o_custkey") % 50).alias("k"), F.when(n % 3 != 0, F.col("o_orderstatus")).alias("a"), F.when(n % 3 != 0, F.col("o_orderpriority")).alias("b"),
         F.when((n % 5 == 0) & (F.col("o_custkey") % 10 == 0), "seldom").alias("c"), F.when(n % 3 != 0, 1).alias("d"))
     return C.cleanup(raw).distinct()
+
+
+# --- neighbours ----------------------------------------------------------------------------------------------------
+
+HOLES = """SELECT o_orderkey, CASE WHEN o_orderkey % 20 = 0 THEN NULL ELSE o_totalprice / 1000 END AS a, CASE WHEN o_orderkey % 25 = 1 THEN NULL ELSE CAST(o_custkey % 100 AS DOUBLE) END AS b,
+ CASE WHEN o_orderkey % 30 < 2 THEN NULL ELSE CAST(DATE_DIFF('day', TIMESTAMP '1995-01-01', o_orderdate) AS DOUBLE) END AS c FROM orders"""
+FEATURES = ("a", "b", "c")
+
+
+def nearest_sql(target: str, k: str) -> str:
+    """Brute force over distinct rows."""
+    total = " + ".join(f"COALESCE((q.{f} - d.{f}) * (q.{f} - d.{f}), 0)" for f in FEATURES)
+    both = " + ".join(f"(q.{f} IS NOT NULL AND d.{f} IS NOT NULL)::INT" for f in FEATURES)
+    same = " AND ".join(f"q.{f} IS NOT DISTINCT FROM r.{f}" for f in FEATURES)
+    return f"""SELECT {', '.join('q.' + f for f in FEATURES)}, AVG(v) AS v FROM (
+ SELECT q.*, d.{target} AS v, ROW_NUMBER() OVER (PARTITION BY {', '.join('q.' + f for f in FEATURES)} ORDER BY SQRT(({total}) * 3 / ({both})), d.{target}) AS rn
+ FROM (SELECT DISTINCT {', '.join(FEATURES)} FROM h WHERE {target} IS NULL) q JOIN h d ON d.{target} IS NOT NULL AND ({both}) > 0) q WHERE rn <= {k} GROUP BY ALL""".replace("{same}", same)
+
+
+def filled(target: str) -> str:
+    same = " AND ".join(f"n{target}.{f} IS NOT DISTINCT FROM h.{f}" for f in FEATURES)
+    return f"LEFT JOIN n{target} ON {same}"
+
+
+@query("p7_knn_impute", ctes(f"""
+SELECT h.o_orderkey, ROUND(COALESCE(h.a, na.v, (SELECT AVG(a) FROM h)), 6) AS a, ROUND(COALESCE(h.b, nb.v, (SELECT AVG(b) FROM h)), 6) AS b, ROUND(COALESCE(h.c, nc.v, (SELECT AVG(c) FROM h)), 6) AS c
+FROM h {filled('a')} {filled('b')} {filled('c')}""", h=HOLES, na=nearest_sql("a", "5"), nb=nearest_sql("b", "5"), nc=nearest_sql("c", "5")))
+def p7(t):
+    n = F.col("o_orderkey")
+    raw = t.orders.select(
+        n, F.when(n % 20 != 0, F.col("o_totalprice") / 1000).alias("a"), F.when(n % 25 != 1, (F.col("o_custkey") % 100).cast("double")).alias("b"),
+        F.when(n % 30 >= 2, F.date_diff("o_orderdate", F.lit("1995-01-01").cast("date")).cast("double")).alias("c"))
+    out = K.knn_impute(raw, FEATURES, FEATURES, 5)
+    return out.withColumns({f: F.round(f, 6) for f in FEATURES})
+
+
+RAW_CUSTOMER = """SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_acctbal END AS balance, CASE WHEN c_custkey % 7 = 1 THEN NULL ELSE c_acctbal / 10 + c_nationkey END AS related,
+ c_nationkey AS nation, CASE WHEN c_custkey % 6 = 0 THEN NULL WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS flag FROM customer"""
+PLACES = "(SELECT CASE WHEN COUNT(*) < 100 THEN LEAST(3, COUNT(*) // 4) WHEN COUNT(*) < 1000 THEN LEAST(5, COUNT(*) // 100) ELSE LEAST(10, CAST(FLOOR(SQRT(COUNT(*)) / 10) AS BIGINT)) END FROM r)"
+
+
+def near_customer(target: str, other: str) -> str:
+    return f"""SELECT c_custkey, AVG(v) AS v FROM (SELECT q.c_custkey, d.{target} AS v, ROW_NUMBER() OVER (PARTITION BY q.c_custkey ORDER BY ABS(q.{other} - d.{other}), d.{target}) AS rn
+ FROM r q JOIN r d ON q.{target} IS NULL AND d.{target} IS NOT NULL AND q.{other} IS NOT NULL AND d.{other} IS NOT NULL) WHERE rn <= {PLACES} GROUP BY c_custkey"""
+
+
+@query("p6_impute_numeric", ctes(f"""
+SELECT r.c_custkey, ROUND(COALESCE(r.balance, a.v, (SELECT AVG(balance) FROM r)), 4) AS balance, ROUND(COALESCE(r.related, b.v, (SELECT AVG(related) FROM r)), 4) AS related, r.nation,
+ CAST(COALESCE(r.flag, CASE WHEN (CAST('0x' || SUBSTR(MD5(r.c_custkey || '|flag|7|0'), 1, 13) AS BIGINT) + 0.5::DOUBLE) / POWER(16, 13) < 0.5 THEN 0 ELSE 1 END) AS INT) AS flag
+FROM r LEFT JOIN na a ON a.c_custkey = r.c_custkey LEFT JOIN nb b ON b.c_custkey = r.c_custkey""", r=RAW_CUSTOMER, na=near_customer("balance", "related"), nb=near_customer("related", "balance")))
+def p6(t):
+    n = F.col("c_custkey")
+    raw = t.customer.select(
+        n, F.when(n % 5 != 0, F.col("c_acctbal")).when(n % 10 == 0, F.lit(float("inf"))).alias("balance"), F.when(n % 7 != 1, F.col("c_acctbal") / 10 + F.col("c_nationkey")).alias("related"),
+        F.col("c_nationkey").alias("nation"), F.when(n % 6 != 0, (F.col("c_mktsegment") == "BUILDING").cast("int")).alias("flag"))
+    out = K.impute_numeric(raw, ["c_custkey"], seed=7)
+    return out.withColumns({"balance": F.round("balance", 4), "related": F.round("related", 4)})
