@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from riskmart.functions.expr import clamp, numeric_columns, string_columns
 from riskmart.functions.stats import modes, null_rates, quantiles
+from riskmart.operators.knn import knn_impute
 from riskmart.operators.validate import FRAUD_FLAGS, PRICES, outlier_bounds
 
 # Columns left to the domain rules of each dataset.
@@ -218,9 +219,17 @@ def cap_zscore(df: DataFrame, col: str, z: float = 3.0) -> DataFrame:
     return _put(df, {col: clamp(F.col(col).cast("double"), row["m"] - z * row["s"], row["m"] + z * row["s"])})
 
 
-def repair_dataset(df: DataFrame, dataset: str, as_of, max_missing: float = 0.5, k: float = 3.0) -> DataFrame:
-    """Missing values, then outliers, then domain rules, then consistency between columns."""
-    df = fill_missing(df, max_missing)
+def fill_by_neighbours(df: DataFrame, col: str, k: int = 5) -> DataFrame:
+    """Fill one numeric column from the nearest rows over all numeric columns."""
+    return knn_impute(df, [col], numeric_columns(df), k)
+
+
+def repair_dataset(df: DataFrame, dataset: str, as_of, max_missing: float = 0.5, k: float = 3.0, knn=fill_by_neighbours) -> DataFrame:
+    """Missing values, then outliers, then domain rules, then consistency between columns.
+
+    ``knn=None`` fills all numbers with the median, which needs no joins.
+    """
+    df = fill_missing(df, max_missing, knn)
     owned = DOMAIN_OWNED.get(dataset, ())
     key = group_key(df)
     if key is not None:

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskmart.functions.expr import numeric_columns
 from riskmart.operators import clean, conform, generate, repair, scd, validate
+from riskmart.operators.knn import impute_numeric
 from riskmart.plans import gate, marts, measures, scoring
 from riskmart.session import settle
 from riskmart.sources.date_dim import build_date_dim
@@ -56,8 +56,7 @@ def clean_dataset(df: DataFrame, key: Sequence[str], owner: str | None = None, s
     """Text, dates, numbers, categories and a first clean-up."""
     df = clean.infer_numeric(clean.clean_text(df))
     df = clean.parse_durations(clean.parse_dates(df))
-    free = [c for c in numeric_columns(df) if c not in key]
-    df = clean.impute_binary(df, key, seed, free)
+    df = settle(impute_numeric(df, key, seed=seed))
     df = clean.float_to_int(clean.round_numeric(df))
     df = clean.drop_redundant_columns(df, keep=[*key, *keep])
     return clean.cleanup(clean.fill_categorical(clean.binarize(df), owner, key))

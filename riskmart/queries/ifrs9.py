@@ -68,7 +68,7 @@ def i2(t):
 # Two runs: before, terms of 24 months do not exist yet and delays are shorter; by now terms of 36 months have ended.
 LOANS_BEFORE = "SELECT * REPLACE (CAST(GREATEST(DaysPastDue - 20, 0) AS INT) AS DaysPastDue), CAST(0 AS INT) AS WriteOffFlag FROM ifrs_loan WHERE TermMonths <> 24"
 LOANS_NOW = """SELECT * REPLACE (CASE WHEN TermMonths = 36 THEN 0 ELSE IsActive END AS IsActive),
- CAST(CASE WHEN TermMonths = 36 AND CollateralType = 'VEHICLE' THEN 1 ELSE 0 END AS INT) AS WriteOffFlag FROM ifrs_loan"""
+ CAST(CASE WHEN TermMonths = 36 AND LoanType = 'REVOLVING' THEN 1 ELSE 0 END AS INT) AS WriteOffFlag FROM ifrs_loan"""
 
 
 def loans_before(t):
@@ -80,7 +80,7 @@ def loans_now(t):
     ended = F.col("TermMonths") == 36
     return t.ifrs_loan.withColumns({
         "IsActive": F.when(ended, 0).otherwise(F.col("IsActive")),
-        "WriteOffFlag": F.when(ended & (F.col("CollateralType") == "VEHICLE"), 1).otherwise(0)})
+        "WriteOffFlag": F.when(ended & (F.col("LoanType") == "REVOLVING"), 1).otherwise(0)})
 
 
 def stage_sql(loans: str, date: str) -> str:
