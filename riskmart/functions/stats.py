@@ -8,6 +8,8 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskmart.functions.expr import any_of
+
 BINS = 2048
 
 
@@ -37,8 +39,10 @@ def order_statistics(df: DataFrame, ranks: Mapping[str, Callable[[int], Iterable
             v = F.col(c)
             slot = F.least(F.floor((v - F.lit(lo)) / F.lit(hi - lo) * BINS), F.lit(BINS - 1)).cast("int")
             cells.append(F.when((v >= F.lit(lo)) & (v <= F.lit(hi)), F.struct(F.lit(i).alias("s"), slot.alias("b"), v.alias("v"))))
+        # Rows outside every open interval are dropped before they are fanned out.
+        inside = any_of((F.col(c) >= F.lit(lo)) & (F.col(c) <= F.lit(hi)) for c, lo, hi in spans)
         counted = (
-            values.select(F.explode(F.array_compact(F.array(*cells))).alias("c"))
+            values.filter(inside).select(F.explode(F.array(*cells)).alias("c")).filter(F.col("c").isNotNull())
             .groupBy("c.s", "c.b")
             .agg(F.count("*").alias("n"), F.min("c.v").alias("lo"), F.max("c.v").alias("hi"))
             .collect()

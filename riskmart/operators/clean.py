@@ -17,6 +17,7 @@ from riskmart.functions.expr import has_token, is_blank, numeric_columns, pearso
 from riskmart.functions.stats import modes, null_rates, order_statistics, small_domains
 from riskmart.functions.uniform import uniform
 from riskmart.operators.keys import rank_within
+from riskmart.session import settle
 from riskmart.sources.staging import parse_timestamp
 
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
@@ -238,14 +239,14 @@ def one_hot(df: DataFrame, max_card: int = 10, cols: Sequence[str] | None = None
 
 def words(text: Column) -> Column:
     """Lower-case words, cut at white space and at hyphens, underscores and slashes."""
-    cut = F.split(F.regexp_replace(F.lower(text), r"[-_/]", " "), r"\s+")
-    return F.filter(cut, lambda w: w != "")
+    return F.split(F.trim(F.translate(F.lower(text), "-_/", "   ")), r"\s+")
 
 
 def common_words(df: DataFrame, col: str) -> DataFrame:
     """Words over three letters at least as frequent as max(2, median + half the way to the 95th percentile of the counts)."""
-    counts = df.select(F.explode(words(F.col(col))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    # The counts are needed three times, but one row per different word is what gets recomputed, so nothing is cached.
+    counts = df.select(F.explode(words(F.col(col))).alias("word")).filter("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
+    # Read several times below; saving one row per different word is far cheaper than cutting all texts again.
+    counts = settle(counts)
     sizes, at = order_statistics(counts, {"n": lambda n: {(n - 1) // 2, n // 2, min(int(n * 0.95), n - 1)}})
     size = sizes["n"]
     if size == 0:

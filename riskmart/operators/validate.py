@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskmart.functions.expr import attach_stats, numeric_columns
-from riskmart.functions.stats import distinct_counts, null_rates, quantiles
+from riskmart.functions.stats import distinct_counts, quantiles
 
 ISSUE_SCHEMA = "check string, field string, severity string, failed int, n_bad bigint, pct double, details string"
 # Plausible ranges used by the domain rules.
@@ -119,13 +119,13 @@ def outlier_bounds(df: DataFrame, k: float = 3.0, cols: Sequence[str] | None = N
     """IQR fences of numeric columns that are not ids, have over two values, at most half NULL and a positive IQR."""
     names = [c for c in numeric_columns(df) if cols is None or c in cols]
     names = [c for c in names if "id" not in c.lower() or c in keep_ids]
-    sparse = null_rates(df, names)
-    names = [c for c in names if sparse[c] <= 0.5]
-    # Approximate counts settle the wide columns; only narrow ones are counted exactly.
     if not names:
         return {}
-    rough = df.agg(*[F.approx_count_distinct(c).alias(f"c{i}") for i, c in enumerate(names)]).first()
-    narrow = distinct_counts(df, [c for i, c in enumerate(names) if rough[f"c{i}"] <= 10])
+    # Approximate counts settle the wide columns; only narrow ones are counted exactly.
+    rough = df.agg(F.count("*").alias("n"), *[f(c).alias(f"{k}{i}") for i, c in enumerate(names) for k, f in (("c", F.approx_count_distinct), ("v", F.count))]).first()
+    kept = [(i, c) for i, c in enumerate(names) if 2 * rough[f"v{i}"] >= rough["n"]]
+    names, index = [c for _, c in kept], {c: i for i, c in kept}
+    narrow = distinct_counts(df, [c for c in names if rough[f"c{index[c]}"] <= 10])
     names = [c for c in names if narrow.get(c, 3) > 2]
     out = {}
     for c, q in quantiles(df, names, (0.25, 0.75)).items():

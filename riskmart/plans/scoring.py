@@ -47,35 +47,42 @@ def latest_snapshot(fact: DataFrame, key: str, date_col: str, date, strict: bool
     return reach.groupBy(key).agg(F.max(F.struct(*order)).alias("_r")).select(key, *[F.col(f"_r.{c}") for c in rest])
 
 
-def credit_score(credit: DataFrame, customers: DataFrame, loans: DataFrame, date_key: int,
-                 exact_date: bool = True) -> DataFrame:
-    """30 % credit score, 25 % debt-to-income, 30 % payment history, 15 % utilisation; 50 when it cannot be computed.
+def _loan_history(loans: DataFrame) -> DataFrame:
+    """Defaulted and late loans per customer; a customer without loans has no row."""
+    return loans.groupBy("CustomerSK").agg(
+        F.count_if(F.col("PaymentStatus") == "Defaulted").alias("_defaulted"),
+        F.count_if(F.col("PaymentStatus") == "Late").alias("_late"),
+    )
 
-    ``exact_date=True`` needs a customer snapshot on the very day, ``False`` takes the latest one up to it.
-    """
-    everyone = customers.select("CustomerSK").distinct()
+
+def _credit_parts(credit: DataFrame, customers: DataFrame, date_key: int, exact_date: bool) -> DataFrame:
+    """Per customer of the snapshots: the part of the score that comes from the cards, and the snapshot that counts."""
     own = F.col("CreditScore") * _w("0.1")
     card = (100 - own) * _w("0.30") + band("CreditUtilizationRatio", CREDIT_UTILISATION, 10) * _w("0.15")
     cards = credit.groupBy("CustomerSK").agg(F.max(card).alias("_card"))
-    history = loans.groupBy("CustomerSK").agg(
-        F.count_if(F.col("PaymentStatus") == "Defaulted").alias("_defaulted"),
-        F.count_if(F.col("PaymentStatus") == "Late").alias("_late"),
-    )
-    snap = customers.select("CustomerSK", "DateSK", "DebtToIncomeRatio")
-    snap = snap.filter(F.col("DateSK") == date_key) if exact_date else latest_snapshot(snap, "CustomerSK", "DateSK", date_key)
+    reached = F.col("DateSK") == date_key if exact_date else F.col("DateSK") <= date_key
+    snap = F.max(F.when(reached, F.struct("DateSK", "DebtToIncomeRatio")))
+    return customers.groupBy("CustomerSK").agg(snap.alias("_snap")).join(cards, "CustomerSK", "left")
+
+
+def _credit_total() -> Column:
     behaviour = F.when(F.col("_defaulted") > 0, 100).when(F.col("_late") > 3, 90).when(F.col("_late") > 0, 70).otherwise(10)
-    score = (
+    total = (
         F.col("_card")
-        + band("DebtToIncomeRatio", CREDIT_DTI, 20) * _w("0.25")
+        + band("_snap.DebtToIncomeRatio", CREDIT_DTI, 20) * _w("0.25")
         + behaviour * _w("0.30")
     ).cast(SCORE)
-    scored = (
-        cards.join(snap, "CustomerSK")
-        .join(history, "CustomerSK", "left")
-        .select("CustomerSK", score.alias("CreditRiskScore"))
-    )
-    return everyone.join(scored, "CustomerSK", "left").select(
-        "CustomerSK", F.coalesce("CreditRiskScore", F.lit(DEFAULT_CREDIT)).cast(SCORE).alias("CreditRiskScore"))
+    return F.coalesce(F.when(F.col("_snap").isNotNull(), total), F.lit(DEFAULT_CREDIT)).cast(SCORE)
+
+
+def credit_score(credit: DataFrame, customers: DataFrame, loans: DataFrame, date_key: int,
+                 exact_date: bool = True) -> DataFrame:
+    """30 % credit score, 25 % debt-to-income, 30 % payment history, 15 % utilisation; 50 when it cannot be computed.
+
+    ``exact_date=True`` needs a customer snapshot on the very day, ``False`` takes the latest one up to it.
+    """
+    parts = _credit_parts(credit, customers, date_key, exact_date).join(_loan_history(loans), "CustomerSK", "left")
+    return parts.select("CustomerSK", _credit_total().alias("CreditRiskScore"))
 
 
 def fraud_score(fraud: DataFrame, date, days: int = 90) -> DataFrame:
@@ -118,17 +125,20 @@ def market_conditions(market: DataFrame, economy: DataFrame, date, country, days
     )
 
 
-def market_score(market: DataFrame, economy: DataFrame, loans: DataFrame, date, country, days: int = 30) -> DataFrame:
-    """Market score of customers with loans; the conditions are the same for all of them."""
-    score = (
+def _market_total() -> Column:
+    return (
         band("_volatility", MARKET_VOLATILITY, 20) * _w("0.30")
         + band("_rate", MARKET_RATE, 20) * _w("0.25")
         + band("_jobless", MARKET_UNEMPLOYMENT, 20) * _w("0.25")
         + band("_change", MARKET_CHANGE, 20) * _w("0.20")
-    )
+    ).cast(SCORE)
+
+
+def market_score(market: DataFrame, economy: DataFrame, loans: DataFrame, date, country, days: int = 30) -> DataFrame:
+    """Market score of customers with loans; the conditions are the same for all of them."""
     holders = loans.select("CustomerSK").distinct()
     scored = attach_stats(holders, market_conditions(market, economy, date, country, days))
-    return scored.select("CustomerSK", score.cast(SCORE).alias("MarketRiskScore"))
+    return scored.select("CustomerSK", _market_total().alias("MarketRiskScore"))
 
 
 def aggregate_score(df: DataFrame) -> DataFrame:
@@ -162,14 +172,14 @@ def risk_profile(customers: DataFrame, credit: DataFrame, loans: DataFrame, frau
     """Profile rows of one day for every customer with a snapshot up to it: four scores, previous score, trend, category."""
     key = int(str(date).replace("-", ""))
     known = customers.filter(F.col("DateSK") <= key)
-    base = credit_score(credit, known, loans, key, exact_date)
+    # All parts are keyed by customer, so they meet on one partitioning; the loans are aggregated once for two scores.
+    base = _credit_parts(credit, known, key, exact_date).join(_loan_history(loans), "CustomerSK", "left")
     base = base.join(fraud_score(fraud, date), "CustomerSK", "left")
-    base = base.join(market_score(market, economy, loans, date, country), "CustomerSK", "left")
-    base = base.withColumns({
-        "FraudRiskScore": F.coalesce("FraudRiskScore", F.lit(DEFAULT_FRAUD)).cast(SCORE),
-        "MarketRiskScore": F.coalesce("MarketRiskScore", F.lit(DEFAULT_MARKET)).cast(SCORE),
-        "DateID": F.lit(key),
-    })
+    base = attach_stats(base, market_conditions(market, economy, date, country))
+    base = base.select(
+        "CustomerSK", F.lit(key).alias("DateID"), _credit_total().alias("CreditRiskScore"),
+        F.coalesce("FraudRiskScore", F.lit(DEFAULT_FRAUD)).cast(SCORE).alias("FraudRiskScore"),
+        F.when(F.col("_late").isNotNull(), _market_total()).otherwise(F.lit(DEFAULT_MARKET)).cast(SCORE).alias("MarketRiskScore"))
     base = aggregate_score(base)
     if profile is None:
         base = base.withColumn("PreviousAggregateRiskScore", F.lit(Decimal("0.00")).cast(SCORE))

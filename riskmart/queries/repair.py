@@ -60,13 +60,13 @@ def r2(t):
 
 def capped_sql(c: str, k: float) -> str:
     q1, q3 = f"(SELECT QUANTILE_CONT({c}, 0.25) FROM skewed)", f"(SELECT QUANTILE_CONT({c}, 0.75) FROM skewed)"
-    return f"ROUND(SUM(LEAST(GREATEST({c}, {q1} - {k} * ({q3} - {q1})), {q3} + {k} * ({q3} - {q1}))), 2) AS {c}"
+    return f"CAST(SUM(CAST(LEAST(GREATEST({c}, {q1} - {k} * ({q3} - {q1})), {q3} + {k} * ({q3} - {q1})) AS DECIMAL(18,4))) AS DOUBLE) AS {c}"
 
 
 @query("r3_cap_outliers_iqr", ctes("SELECT " + ", ".join(capped_sql(c, 3) for c in LINE_COLS) + ", COUNT(*) AS rows FROM skewed", skewed=SKEWED))
 def r3(t):
     out = R.cap_outliers_iqr(skewed(t), 3.0)
-    return out.agg(*[F.round(F.sum(c), 2).alias(c) for c in LINE_COLS], F.count("*").alias("rows"))
+    return out.agg(*[F.sum(F.col(c).cast("decimal(18,4)")).cast("double").alias(c) for c in LINE_COLS], F.count("*").alias("rows"))
 
 
 WILD = """SELECT RowKey, CASE WHEN RowKey % 10 = 0 THEN -Age ELSE Age END AS Age, CASE WHEN RowKey % 4 = 0 THEN -LoanAmount WHEN RowKey % 5 = 0 THEN LoanAmount * 1000 ELSE LoanAmount END AS LoanAmount,
