@@ -47,7 +47,7 @@ def convert_type(df: DataFrame, source: str, to: T.DataType, as_of=None) -> Colu
     if isinstance(to, (T.DateType, T.TimestampType)):
         if source == "report_date":
             parsed = F.make_date(number.cast("int"), F.lit(1), F.lit(1)).cast("timestamp")
-        elif isinstance(have, (T.DateType, T.TimestampType)):
+        elif isinstance(have, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             parsed = v.cast("timestamp")
         else:
             parsed = parse_timestamp(text)

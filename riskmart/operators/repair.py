@@ -45,7 +45,7 @@ def fill_missing(df: DataFrame, max_missing: float = 0.5, knn=None) -> DataFrame
     """
     rates = {c: r for c, r in null_rates(df).items() if 0 < r <= max_missing}
     numbers = [c for c in numeric_columns(df) if c in rates]
-    times = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.TimestampType, T.DateType)) and f.name in rates]
+    times = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)) and f.name in rates]
     texts = [c for c in string_columns(df) if c in rates]
     if knn is not None and len(numeric_columns(df)) >= 3 and df.limit(11).count() > 10:
         for c in [c for c in numbers if rates[c] < 0.3]:
