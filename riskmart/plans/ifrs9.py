@@ -119,7 +119,15 @@ def stage_history(stages: DataFrame, history: DataFrame | None, as_of) -> DataFr
 
 
 def update_stages(target: DataFrame, rows: DataFrame) -> DataFrame:
-    """Stage table with the rows of one run upserted."""
+    """Stage table with the rows of one run upserted.
+
+    The rows are saved first: their date is a literal, and two literal dates that differ would fold the whole join
+    condition to false and leave a join without keys.
+    """
+    return _merge_stages(target, settle(rows))
+
+
+def _merge_stages(target: DataFrame, rows: DataFrame) -> DataFrame:
     return upsert(target, rows, DATED, [c for c in rows.columns if c not in DATED])
 
 
@@ -333,7 +341,7 @@ def run_ifrs9(accounts: DataFrame, loans: DataFrame, scenarios: DataFrame, as_of
     classify = classify_instruments if has_flags else classify_instruments_basic
     out = {"classification": classify(accounts, old.get("classification"), as_of), "loans": loans}
     rows = save(stage_history(ecl_stage(loans, as_of), old.get("stages"), as_of))
-    out["stages"] = update_stages(old["stages"], rows) if "stages" in old else rows
+    out["stages"] = _merge_stages(old["stages"], rows) if "stages" in old else rows
     params = save(ecl_parameters(loans, rows, as_of))
     out["params"] = upsert(old["params"], params, DATED, [c for c in params.columns if c not in DATED]) if "params" in old else params
     loss = save(ecl(params, rows, loans, scenarios, as_of, include_all, scenario_mode))
