@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_STAGED: list[str] = []
+
+
 def local_session(cores: int | str = 8, name: str = "riskmart") -> SparkSession:
     """A single-machine session for tests and the bench; a cluster brings its own."""
     return (
@@ -25,20 +27,14 @@ def local_session(cores: int | str = 8, name: str = "riskmart") -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``; where none is named, one below the warehouse.
 
-    Where the session names none, a local master gets a temporary folder (tests); a cluster must name one, because
-    a folder of one machine is lost with that machine.
+    Both are on storage that every executor reaches on a cluster. There is no temporary folder of one machine, on no master.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    made = tempfile.mkdtemp(prefix="riskmart-")
+    made = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
     spark.sparkContext.setCheckpointDir(made)
     return made
 
@@ -56,5 +52,23 @@ def settle(df: DataFrame) -> DataFrame:
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder for a staged table."""
-    return f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder for a staged table; :func:`drop_staged` ends its life."""
+    path = f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _STAGED.append(path)
+    return path
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: cuts the lineage, and later reads fetch only their columns."""
+    path = stage_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete what this process staged, once the results that read it are written. Returns the number of paths dropped."""
+    dropped = 0
+    while _STAGED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        dropped += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return dropped
