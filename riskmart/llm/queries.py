@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskmart.llm import langid, packing, rules, sharding, trees
+from riskmart.llm import langid, lines, packing, quotes, rules, sharding, simhash, trees, winnow
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,10 +28,28 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trees.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link(table(spark, sf_dir, "conversations"))
+
+
+def op6_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_lines, n_removed, and size and checksum of the text that is left."""
+    done = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_lines", "n_removed", F.octet_length("text").alias("bytes_left"), F.sha2("text", 256).alias("left_sha256"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
 
@@ -40,5 +59,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_quality_classifier, op7_quality_rules, op9_sharding, op10_language_id)}
+    f.__name__: f for f in (
+        op1_packing, op2_quality_classifier, op3_simhash_golay, op4_quote_linking, op6_fuzzy_lines, op7_quality_rules,
+        op8_decontamination, op9_sharding, op10_language_id)}
 ORACLE: dict[str, str] = {}
