@@ -24,11 +24,11 @@ def ascii_lower(text: Column) -> Column:
 
 
 def with_key(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Adds ``_k1, _k2``: a 128-bit key of (id, text). Rows equal in both are one document."""
+    """Adds ``__k1, __k2``: a 128-bit key of (id, text). Rows equal in both are one document."""
     t = F.coalesce(F.col(text), F.lit(""))
     return df.withColumns({
-        "_k1": F.xxhash64(F.col(doc_id).cast("string"), F.lit("|"), F.col(text)),
-        "_k2": F.crc32(t) * F.lit(1 << 31) + F.octet_length(t),
+        "__k1": F.xxhash64(F.col(doc_id).cast("string"), F.lit("|"), F.col(text)),
+        "__k2": F.crc32(t) * F.lit(1 << 31) + F.octet_length(t),
     })
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import langid, lines, packing, quotes, rules, sharding, simhash, trees, winnow
+from riskmart.llm import langid, lines, mixing, packing, quotes, rules, sharding, simhash, trees, winnow
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op4_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.link(table(spark, sf_dir, "conversations"))
 
 
+def op5_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op6_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines, n_removed, and size and checksum of the text that is left."""
     done = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -60,6 +64,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_packing, op2_quality_classifier, op3_simhash_golay, op4_quote_linking, op6_fuzzy_lines, op7_quality_rules,
+        op1_packing, op2_quality_classifier, op3_simhash_golay, op4_quote_linking, op5_context_mixing, op6_fuzzy_lines, op7_quality_rules,
         op8_decontamination, op9_sharding, op10_language_id)}
 ORACLE: dict[str, str] = {}

@@ -91,8 +91,8 @@ def learn(x: np.ndarray, bad: np.ndarray, fold: np.ndarray, names: list[str], ma
 
 def fit(documents: DataFrame, labels: DataFrame, sample: int = 20_000, **how) -> list[Rule]:
     """Rules from at most about ``sample`` labelled documents, chosen by a hash of their ids; their whole texts are counted."""
-    rows = labelled_sample(documents, labels, "quality", sample).withColumn("_s", text_counts(F.col("text")))
-    stats = ratios("_s")
+    rows = labelled_sample(documents, labels, "quality", sample).withColumn("__counts", text_counts(F.col("text")))
+    stats = ratios("__counts")
     fold = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(3)).alias("_fold")
     got = rows.select("doc_id", "_label", fold, *[c.alias(k) for k, c in stats.items()]).toPandas()
     got = got.sort_values(["doc_id", *stats]).reset_index(drop=True)  # the same list whatever order the tasks ended in
@@ -109,16 +109,16 @@ def verdict(rules: list[Rule], stats: dict[str, Column]) -> Column:
 
 
 def judge(documents: DataFrame, rules: list[Rule], text: str = "text", min_words: int = 50, max_repeat: int = 50) -> DataFrame:
-    """All columns of ``documents`` and a struct ``_quality``: the base counts, base_failed, fired (rule number) and kept."""
-    counted = documents.withColumn("_s", text_counts(F.col(text)))
-    failed = (F.col("_s.n_words") < min_words) | (100 * F.col("_s.n_repeat_words") > max_repeat * F.col("_s.n_words"))
-    fired = verdict(rules, ratios("_s"))
-    return counted.withColumn("_quality", F.struct(
-        *[F.col(f"_s.{c}").alias(c) for c in BASE], failed.alias("base_failed"), fired.alias("fired"),
-        (~failed & fired.isNull()).alias("kept"))).drop("_s")
+    """All columns of ``documents`` and a struct ``__quality``: the base counts, base_failed, fired (rule number) and kept."""
+    counted = documents.withColumn("__counts", text_counts(F.col(text)))
+    failed = (F.col("__counts.n_words") < min_words) | (100 * F.col("__counts.n_repeat_words") > max_repeat * F.col("__counts.n_words"))
+    fired = verdict(rules, ratios("__counts"))
+    return counted.withColumn("__quality", F.struct(
+        *[F.col(f"__counts.{c}").alias(c) for c in BASE], failed.alias("base_failed"), fired.alias("fired"),
+        (~failed & fired.isNull()).alias("kept"))).drop("__counts")
 
 
 def quality_rules(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """Per document: doc_id, the base counts, base_failed, fired and kept."""
     narrow = documents.select("doc_id", "text")
-    return judge(narrow, fit(documents, labels)).select("doc_id", "_quality.*")
+    return judge(narrow, fit(documents, labels)).select("doc_id", "__quality.*")

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import ASCII_LOWER
+from riskmart.llm.common import ASCII_LOWER, with_key
 from riskmart.llm.near import linked
 from riskmart.session import staged
 
@@ -150,3 +150,14 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     smallest = marked.groupBy("fp").agg(F.min("doc_id").alias("_first")).join(group, "fp").groupBy("root").agg(F.min("_first").alias("component_id"))
     named = group.join(smallest, "root").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_one(documents: DataFrame) -> DataFrame:
+    """``documents`` with one row of every group of near-duplicates: that of the smallest doc_id (NULL last), once."""
+    keyed = with_key(documents, "doc_id", "text")
+    marked = staged(keyed.select("doc_id", "__k1", "__k2", fingerprint(F.col("text")).alias("fp")), "marked")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__k1", "__k2")).alias("_b")
+    firsts = marked.groupBy("fp").agg(best).join(groups(marked), "fp").groupBy("root").agg(F.min("_b").alias("_b"))
+    firsts = staged(firsts.select("_b.__k1", "_b.__k2"), "firsts")
+    # equal rows share a key; the join has dealt them out by it already
+    return keyed.join(firsts, ["__k1", "__k2"]).dropDuplicates(["__k1", "__k2"]).select(*documents.columns)

@@ -103,8 +103,8 @@ def window_fingerprints(windows: DataFrame, span: int, k: int, short: list[int])
     return staged(at.select(kinds.alias("fp")).distinct(), "item-fingerprints")
 
 
-def contamination(documents: DataFrame, benchmark: DataFrame, span: int = 10, k: int = 5) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+def occurrences(documents: DataFrame, benchmark: DataFrame, span: int, k: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents' ids, keys and n_words; items' windows; found): found has every place of a document where a window of an item stands."""
     windows = item_windows(benchmark, span)
     short = sorted(r["words"] for r in windows.where(F.col("words") < span).select("words").distinct().collect())  # below ``span`` values
     prints = window_fingerprints(windows, span, k, short)
@@ -114,39 +114,51 @@ def contamination(documents: DataFrame, benchmark: DataFrame, span: int = 10, k:
     keyed = with_key(documents.select("doc_id", "text"), "doc_id", "text")
     marked = with_fingerprints(keyed, "text", span, k, short)
     marks = F.array_distinct(F.concat("_least", *[f"_s{n}" for n in short]))
-    marked = staged(marked.select("doc_id", "_k1", "_k2", F.size("_words").cast("long").alias("n_words"), marks.alias("marks")), "marked")
-    hit = marked.select("_k1", "_k2", F.explode("marks").alias("fp")).join(prints, "fp")
-    hit = staged(hit.groupBy("_k1", "_k2").agg(F.collect_set("fp").alias("found")), "hit")
+    marked = staged(marked.select("doc_id", "__k1", "__k2", F.size("_words").cast("long").alias("n_words"), marks.alias("marks")), "marked")
+    hit = marked.select("__k1", "__k2", F.explode("marks").alias("fp")).join(prints, "fp")
+    hit = staged(hit.groupBy("__k1", "__k2").agg(F.collect_set("fp").alias("found")), "hit")
 
     size = hit.agg(F.coalesce(F.sum(40 + 8 * F.size("found")), F.lit(0)).alias("n")).first()["n"]
-    again = keyed.join(F.broadcast(hit) if size <= BROADCAST_BYTES else hit, ["_k1", "_k2"])
+    again = keyed.join(F.broadcast(hit) if size <= BROADCAST_BYTES else hit, ["__k1", "__k2"])
     again = with_fingerprints(again, "text", span, k, short)
     parts = []
     for name, n in [("_least", span), *[(f"_s{n}", n) for n in short]]:
         # places from 0; the one past the end has no hash and finds nothing
         starts = F.filter(F.sequence(F.lit(0), F.size(name)), _found_at(name))
-        at = again.select("_k1", "_k2", "_words", F.explode(starts).alias("start"))
-        parts.append(at.select("_k1", "_k2", "start", F.lit(n).alias("words"),
+        at = again.select("__k1", "__k2", "_words", F.explode(starts).alias("start"))
+        parts.append(at.select("__k1", "__k2", "start", F.lit(n).alias("words"),
                                F.array_join(F.slice("_words", F.col("start") + 1, F.lit(n)), " ").alias("window")))
     candidates = parts[0]
     for p in parts[1:]:
         candidates = candidates.unionByName(p)
     known = windows.select("words", "window").distinct()
     found = staged(candidates.join(known, ["words", "window"]), "found")
+    return marked.select("doc_id", "__k1", "__k2", "n_words"), windows, found
+
+
+def clean(documents: DataFrame, benchmark: DataFrame, span: int = 10, k: int = 5) -> DataFrame:
+    """``documents`` without those that share a window with an item."""
+    _, _, found = occurrences(documents, benchmark, span, k)
+    hit = found.select("__k1", "__k2").distinct()
+    return with_key(documents, "doc_id", "text").join(hit, ["__k1", "__k2"], "left_anti").select(*documents.columns)
 
-    spans = found.groupBy("_k1", "_k2").agg(F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("words")).alias("end")))).alias("_spans"))
+
+def contamination(documents: DataFrame, benchmark: DataFrame, span: int = 10, k: int = 5) -> DataFrame:
+    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    marked, windows, found = occurrences(documents, benchmark, span, k)
+    spans = found.groupBy("__k1", "__k2").agg(F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("words")).alias("end")))).alias("_spans"))
     zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end"))
     covered = F.aggregate("_spans", zero, lambda a, x: F.struct(
         (a["n"] + F.greatest(x["end"] - F.greatest(x["start"], a["end"]), F.lit(0))).cast("long").alias("n"),
         F.greatest(a["end"], x["end"]).alias("end")))["n"]
-    spans = spans.select("_k1", "_k2", covered.alias("n_hit"))
-    named = found.select("_k1", "_k2", "words", "window").distinct().join(windows, ["words", "window"])
-    named = named.select("_k1", "_k2", F.col("item_id").cast("string").alias("item")).distinct().groupBy("_k1", "_k2")
+    spans = spans.select("__k1", "__k2", covered.alias("n_hit"))
+    named = found.select("__k1", "__k2", "words", "window").distinct().join(windows, ["words", "window"])
+    named = named.select("__k1", "__k2", F.col("item_id").cast("string").alias("item")).distinct().groupBy("__k1", "__k2")
     named = named.agg(F.array_sort(F.collect_set("item")).alias("_items"))
-    answer = spans.join(named, ["_k1", "_k2"]).select(
-        "_k1", "_k2", "n_hit", F.size("_items").cast("long").alias("n_items"), F.sha2(F.array_join("_items", ","), 256).alias("items_sha256"))
+    answer = spans.join(named, ["__k1", "__k2"]).select(
+        "__k1", "__k2", "n_hit", F.size("_items").cast("long").alias("n_items"), F.sha2(F.array_join("_items", ","), 256).alias("items_sha256"))
 
-    out = marked.select("doc_id", "_k1", "_k2", "n_words").join(answer, ["_k1", "_k2"], "left")
+    out = marked.join(answer, ["__k1", "__k2"], "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
                       F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
