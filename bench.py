@@ -22,6 +22,7 @@ HEADLINE = (
     "v4_check_outliers", "v10_validate_staging", "v12_validate_pre_production", "v16_profile",
     "r2_consensus_by_group", "r4_fix_loan", "m5_suffix_duplicate_ids", "p16_common_words", "p17_fill_categorical",
     "i9_ecl", "w1_customer_risk", "w5_risk_dashboard",
+    "p6_impute_numeric", "p7_knn_impute", "p15_split_multivalue", "e1_cook_dataset", "e3_stage_to_mart", "i10_ecl_movement", "i11_run_ifrs9",
 )
 
 

@@ -111,6 +111,14 @@ def has_token(name: str, tokens: Iterable[str]) -> bool:
     return any(t in low for t in tokens)
 
 
+def null_apart(col: str) -> Column:
+    """A join key as text in which every NULL is a text of its own.
+
+    It matches nothing, as NULL would, but many NULLs do not meet in one task. Project it before the join; the other side is ``cast('string')``.
+    """
+    return F.coalesce(F.col(col).cast("string"), F.concat(F.lit("\0"), F.monotonically_increasing_id().cast("string")))
+
+
 def attach_stats(df: DataFrame, stats: DataFrame) -> DataFrame:
     """Add the columns of a one-row table of global aggregates to every row.
 

@@ -37,7 +37,9 @@ def order_statistics(df: DataFrame, ranks: Mapping[str, Callable[[int], Iterable
         cells = []
         for i, (c, lo, hi) in enumerate(spans):
             v = F.col(c)
-            slot = F.least(F.floor((v - F.lit(lo)) / F.lit(hi - lo) * BINS), F.lit(BINS - 1)).cast("int")
+            # halves, because hi - lo may overflow
+            share = (v / 2 - F.lit(lo / 2)) / F.lit(hi / 2 - lo / 2)
+            slot = F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int")
             cells.append(F.when((v >= F.lit(lo)) & (v <= F.lit(hi)), F.struct(F.lit(i).alias("s"), slot.alias("b"), v.alias("v"))))
         # Rows outside every open interval are dropped before they are fanned out.
         inside = any_of((F.col(c) >= F.lit(lo)) & (F.col(c) <= F.lit(hi)) for c, lo, hi in spans)

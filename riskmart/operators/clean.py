@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskmart.functions.expr import has_token, is_blank, numeric_columns, pearson, round_even, string_columns
+from riskmart.functions.expr import has_token, is_blank, null_apart, numeric_columns, pearson, round_even, string_columns
 from riskmart.functions.stats import modes, null_rates, order_statistics, small_domains
 from riskmart.functions.uniform import uniform
 from riskmart.operators.keys import rank_within
@@ -182,7 +182,7 @@ def round_numeric(df: DataFrame, scale: int = 2) -> DataFrame:
 
 
 def float_to_int(df: DataFrame, patterns: Sequence[str] = INTEGER_NAMES) -> DataFrame:
-    """Fractional columns become whole when their name says so or all their values are whole; NULL becomes 0."""
+    """Fractional columns become whole when their name says so or all their values are whole; NULL and what is no whole number becomes 0."""
     cols = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
     if not cols:
         return df
@@ -193,7 +193,7 @@ def float_to_int(df: DataFrame, patterns: Sequence[str] = INTEGER_NAMES) -> Data
 
     row = df.agg(*[F.count_if(off(c)).alias(f"c{i}") for i, c in enumerate(cols)]).first()
     chosen = [c for i, c in enumerate(cols) if has_token(c, patterns) or row[f"c{i}"] == 0]
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)).cast("bigint") for c in chosen})
+    return df.withColumns({c: F.coalesce(F.col(c).try_cast("bigint"), F.lit(0)) for c in chosen})
 
 
 def drop_redundant_columns(df: DataFrame, keep: Sequence[str] = (), threshold: float = 0.95, batch: int = 100) -> DataFrame:
@@ -292,7 +292,8 @@ def split_multivalue(df: DataFrame, col: str, key: str, order_by: Sequence[str],
         "transform(filter(transform(_list, (x, i) -> struct(x, size(filter(slice(_list, 1, i + 1), y -> y = x)) as nth)),"
         " s -> s.nth > coalesce(_claims[s.x], 0)), s -> s.x)"))
     owners = owners.select("_key", "_size", "_list", "_left")
-    joined = rows.join(owners, F.col(key) == F.col("_key"), "left")
+    owners = owners.withColumn("_key", F.col("_key").cast("string"))
+    joined = rows.withColumn("_apart", null_apart(key)).join(owners, F.col("_apart") == F.col("_key"), "left")
     several = F.coalesce(F.col("_size") > 1, F.lit(False))
     single = joined.filter(~several).select(*df.columns)
     ranked = rank_within(joined.filter(several), [key, "_own"], order_by, "_nth")
@@ -318,7 +319,8 @@ def fill_categorical(df: DataFrame, key: str | None, order_by: Sequence[str], co
             return F.min(F.when(~is_blank(c), F.struct(*order, F.col(c).alias("v"))))["v"].alias(f"_f_{c}")
 
         firsts = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(*[first(c) for c in cols])
-        joined = df.join(firsts, F.col(key) == F.col("_key"), "left")
+        firsts = firsts.withColumn("_key", F.col("_key").cast("string"))
+        joined = df.withColumn("_apart", null_apart(key)).join(firsts, F.col("_apart") == F.col("_key"), "left")
     for c in cols:
         options = [F.when(~is_blank(c), F.col(c))]
         if key is not None:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskmart.functions.expr import FALSE_TOKENS, TRUE_TOKENS, clamp, round_even
+from riskmart.functions.expr import FALSE_TOKENS, TRUE_TOKENS, clamp, null_apart, round_even
 from riskmart.operators.keys import dense_key, rank_within
 from riskmart.sources.staging import parse_timestamp
 
@@ -37,16 +37,18 @@ def convert_type(df: DataFrame, source: str, to: T.DataType, as_of=None) -> Colu
     if isinstance(to, T.StringType):
         return F.coalesce(text, F.lit(""))
     number = v.cast("double") if isinstance(have, T.NumericType) else text.try_cast("double")
+    number = F.when(F.abs(number) < float("inf"), number)  # neither NaN, which compares above all, nor infinity
     if isinstance(to, T.IntegralType):
-        return F.coalesce(number, F.lit(0.0)).cast(to)
+        return F.coalesce(number.try_cast(to), F.lit(0).cast(to))
     if isinstance(to, (T.DecimalType, T.DoubleType, T.FloatType)):
         out = F.coalesce(number, F.lit(0.0))
         if isinstance(to, T.DecimalType):
             out = round_even(out, to.scale)
-        return (round_even(out, 2) if "ratio" in source.lower() else out).cast(to)
+        out = round_even(out, 2) if "ratio" in source.lower() else out
+        return F.coalesce(out.try_cast(to), F.lit(0).cast(to))
     if isinstance(to, (T.DateType, T.TimestampType)):
         if source == "report_date":
-            parsed = F.make_date(number.cast("int"), F.lit(1), F.lit(1)).cast("timestamp")
+            parsed = F.try_to_date(F.concat(number.try_cast("int").cast("string"), F.lit("-01-01")), "y-MM-dd").cast("timestamp")
         elif isinstance(have, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             parsed = v.cast("timestamp")
         else:
@@ -82,8 +84,9 @@ def ids_to_int(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Replace text ids by dense integers, one per distinct id; a missing id becomes 0."""
     for c in cols:
         ids = dense_key(df.select(F.col(c).alias("_id")).distinct().filter("_id is not null"), ["_id"], "_int")
+        ids = ids.select(F.col("_id").cast("string").alias("_id"), "_int")
         keep = [F.coalesce("_int", F.lit(0)).alias(c) if x == c else F.col(x) for x in df.columns]
-        df = df.join(ids, F.col(c) == F.col("_id"), "left").select(*keep)
+        df = df.withColumn("_apart", null_apart(c)).join(ids, F.col("_apart") == F.col("_id"), "left").select(*keep)
     return df
 
 

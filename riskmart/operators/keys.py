@@ -55,15 +55,21 @@ def next_key(df: DataFrame, key: str) -> DataFrame:
 def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """``row_number() over (partition by group order by order)`` that never puts a whole group into one task.
 
-    A dense index over (group, order) is contiguous inside a group, so the rank is the distance to the group's lowest
-    index, and that minimum is combined map-side. A group holding a third of the rows stays spread over many tasks.
+    The rows are range-partitioned by (group, order) and settled once. The rank is the place inside the partition, from where the
+    group starts there, plus what earlier partitions hold of the group. That comes from a table of one row per (partition,
+    group), joined on both, so a group with a third of the rows stays spread over as many tasks as it has partitions. There are
+    several ranges per task of a shuffle, so that the ranges of a hot group spread evenly.
     """
-    indexed = dense_key(df, [*group, *order], "_idx")
-    firsts = indexed.groupBy(*group).agg(F.min("_idx").alias("_first"))
-    on = all_of(F.col(f"i.{g}").eqNullSafe(F.col(f"f.{g}")) for g in group)
-    joined = indexed.alias("i").join(firsts.alias("f"), on)
+    sort = [*group, *order]
+    ranged = df.repartitionByRange(8 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *sort).sortWithinPartitions(*sort)
+    ranged = settle(ranged.withColumn("_at", F.monotonically_increasing_id())).withColumn("_part", F.shiftright("_at", _ROWS_BITS))
+    parts = ranged.groupBy("_part", *group).agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = W.partitionBy(*group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    parts = parts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    on = all_of([F.col("i._part") == F.col("f._part"), *[F.col(f"i.{g}").eqNullSafe(F.col(f"f.{g}")) for g in group]])
+    joined = ranged.alias("i").join(parts.alias("f"), on)
     keep = [F.col(f"i.{c}") for c in df.columns]
-    return joined.select(*keep, (F.col("_idx") - F.col("_first") + 1).cast("bigint").alias(name))
+    return joined.select(*keep, (F.col("i._at") - F.col("_first") + F.col("_before") + 1).cast("bigint").alias(name))
 
 
 def natural_key_hash(cols: Sequence[str | Column]) -> Column:
@@ -96,13 +102,20 @@ def upsert(
 ) -> DataFrame:
     """Matched rows take ``update_cols`` from the source, unmatched source rows are inserted, others stay.
 
-    One full outer join on the key; both sides are unique in it, so no key can be hot. A repeated source key is an
-    error unless ``latest_by`` says which row wins.
+    One full outer join on the key; both sides are unique in it, so no key can be hot. The key is compared as one struct: with a
+    literal part that differs between the sides, equality of the parts would fold to false and leave a join without keys. A
+    repeated source key is an error unless ``latest_by`` says which row wins.
     """
     insert_cols = list(insert_cols) if insert_cols is not None else [c for c in source.columns if c in target.columns]
-    src = one_per_key(source, keys, latest_by).withColumn("_s", F.lit(1)).alias("s")
-    tgt = target.withColumn("_t", F.lit(1)).alias("t")
-    joined = tgt.join(src, all_of(F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys), "full")
+    have = {f.name: f.dataType for f in target.schema.fields}
+
+    def whole(k: Sequence[str]) -> Column:
+        parts = F.struct(*[F.col(c).cast(have[c]).alias(c) for c in k])
+        return F.when(all_of(F.col(c).isNotNull() for c in k), parts)
+
+    src = one_per_key(source, keys, latest_by).withColumns({"_s": F.lit(1), "_key": whole(keys)}).alias("s")
+    tgt = target.withColumns({"_t": F.lit(1), "_key": whole(keys)}).alias("t")
+    joined = tgt.join(src, F.col("t._key") == F.col("s._key"), "full")
     in_t, in_s = F.col("t._t").isNotNull(), F.col("s._s").isNotNull()
     out = []
     for f in target.schema.fields:

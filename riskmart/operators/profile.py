@@ -43,12 +43,15 @@ def profile(df: DataFrame) -> DataFrame:
     return shape.join(top, "column_name", "left").withColumn("distinct", F.coalesce("distinct", F.lit(0))).orderBy("column_name")
 
 
-def histograms(df: DataFrame, cols: Sequence[str] | None = None, max_bins: int = 30, max_columns: int = 10) -> DataFrame:
-    """Equal-width counts (column, bin, lower, upper, n) with min(``max_bins``, distinct values) bins; empty bins left out."""
-    cols = list(cols) if cols is not None else numeric_columns(df)[:max_columns]
+def histograms(df: DataFrame, cols: Sequence[str] | None = None, max_bins: int = 30) -> DataFrame:
+    """Equal-width counts (column, bin, lower, upper, n) with min(``max_bins``, distinct values) bins; empty bins left out.
+
+    Without ``cols`` all numeric columns.
+    """
+    cols = list(cols) if cols is not None else numeric_columns(df)
     counts = value_counts(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), cols)
     counts = counts.withColumn("value", F.col("value").cast("double"))
-    # One row per column, ten by default.
+    # One row per column.
     spans = counts.groupBy("column_name").agg(
         F.min("value").alias("lo"), F.max("value").alias("hi"), F.least(F.count("*"), F.lit(max_bins)).alias("bins"))
     width = (F.col("hi") - F.col("lo")) / F.col("bins")
@@ -59,9 +62,9 @@ def histograms(df: DataFrame, cols: Sequence[str] | None = None, max_bins: int =
         F.sum("n").alias("n"))
 
 
-def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None, max_columns: int = 10) -> DataFrame:
-    """Pearson correlation of each pair (lower triangle), all pairs in one aggregate."""
-    cols = list(cols) if cols is not None else numeric_columns(df)[:max_columns]
+def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """Pearson correlation of each pair (lower triangle) of ``cols`` or all numeric columns, all pairs in one aggregate."""
+    cols = list(cols) if cols is not None else numeric_columns(df)
     pairs = [(b, a) for a, b in combinations(cols, 2)]
     row = df.agg(*[pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     cells = [F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(pairs)]

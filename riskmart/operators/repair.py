@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskmart.functions.expr import clamp, numeric_columns, string_columns
+from riskmart.functions.expr import clamp, null_apart, numeric_columns, string_columns
 from riskmart.functions.stats import modes, null_rates, quantiles
 from riskmart.operators.knn import knn_impute
 from riskmart.operators.validate import FRAUD_FLAGS, PRICES, outlier_bounds
@@ -32,25 +32,25 @@ def _type(df: DataFrame, c: str) -> T.DataType:
 
 
 def _put(df: DataFrame, changes: dict[str, Column]) -> DataFrame:
-    """Replace columns and keep their types."""
-    return df.withColumns({c: v.cast(_type(df, c)) for c, v in changes.items()})
+    """Replace columns and keep their types; what a type cannot hold is NULL."""
+    return df.withColumns({c: v.try_cast(_type(df, c)) for c, v in changes.items()})
 
 
-def fill_missing(df: DataFrame, max_missing: float = 0.5, knn=None) -> DataFrame:
+def fill_missing(df: DataFrame, max_missing: float = 0.5, knn=None, knn_columns: Sequence[str] = ()) -> DataFrame:
     """Fill NULL in columns with at most ``max_missing`` of it.
 
     Numbers and timestamps take the median, text named *Type* or *Status* 'Unknown', *Name* 'Not Specified', other
-    text its most frequent value. ``knn`` may be a callable ``(df, column) -> df`` used for numbers with under 30 % NULL
-    when there are at least three numeric columns and more than ten rows.
+    text its most frequent value. ``knn``, a callable ``(df, columns) -> df``, fills those of ``knn_columns`` that have gaps, all at
+    once and from the original values; no size of the table decides.
     """
     rates = {c: r for c, r in null_rates(df).items() if 0 < r <= max_missing}
     numbers = [c for c in numeric_columns(df) if c in rates]
     times = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)) and f.name in rates]
     texts = [c for c in string_columns(df) if c in rates]
-    if knn is not None and len(numeric_columns(df)) >= 3 and df.limit(11).count() > 10:
-        for c in [c for c in numbers if rates[c] < 0.3]:
-            df = knn(df, c)
-            numbers.remove(c)
+    near = [c for c in numbers if c in knn_columns]
+    if knn is not None and near:
+        df = knn(df, near)
+        numbers = [c for c in numbers if c not in near]
     stats = df.select(
         *[F.col(c) for c in numbers], *[F.unix_micros(F.col(c).cast("timestamp")).cast("double").alias(c) for c in times])
     medians = quantiles(stats, [*numbers, *times], (0.5,))
@@ -86,7 +86,8 @@ def consensus_by_group(df: DataFrame, key: str, cols: Sequence[str]) -> DataFram
     best = counts.groupBy("_k", "c").agg(F.sum("n").alias("size"), F.min(valued).alias("top"))
     best = best.filter((F.col("size") >= 3) & (-F.col("top.n") >= F.col("size") - 2))
     agreed = best.groupBy("_k").agg(F.map_from_entries(F.collect_list(F.struct("c", "top.v"))).alias("_agreed"))
-    joined = df.join(agreed, df[key] == F.col("_k"), "left")
+    agreed = agreed.withColumn("_k", F.col("_k").cast("string"))
+    joined = df.withColumn("_apart", null_apart(key)).join(agreed, F.col("_apart") == F.col("_k"), "left")
     out = [F.coalesce(F.col("_agreed")[c].cast(_type(df, c)), F.col(c)).alias(c) if c in cols else F.col(c) for c in df.columns]
     return joined.select(*out)
 
@@ -219,17 +220,17 @@ def cap_zscore(df: DataFrame, col: str, z: float = 3.0) -> DataFrame:
     return _put(df, {col: clamp(F.col(col).cast("double"), row["m"] - z * row["s"], row["m"] + z * row["s"])})
 
 
-def fill_by_neighbours(df: DataFrame, col: str, k: int = 5) -> DataFrame:
-    """Fill one numeric column from the nearest rows over all numeric columns."""
-    return knn_impute(df, [col], numeric_columns(df), k)
+def fill_by_neighbours(df: DataFrame, cols: Sequence[str], k: int = 5) -> DataFrame:
+    """Fill numeric columns from the nearest rows over all numeric columns but ids."""
+    return knn_impute(df, cols, [c for c in numeric_columns(df) if c in cols or "id" not in c.lower()], k)
 
 
-def repair_dataset(df: DataFrame, dataset: str, as_of, max_missing: float = 0.5, k: float = 3.0, knn=fill_by_neighbours) -> DataFrame:
+def repair_dataset(df: DataFrame, dataset: str, as_of, max_missing: float = 0.5, k: float = 3.0, knn=None, knn_columns: Sequence[str] = ()) -> DataFrame:
     """Missing values, then outliers, then domain rules, then consistency between columns.
 
-    ``knn=None`` fills all numbers with the median, which needs no joins.
+    Numbers take the median, which needs no joins, but for ``knn_columns`` if ``knn`` is given (:func:`fill_by_neighbours`).
     """
-    df = fill_missing(df, max_missing, knn)
+    df = fill_missing(df, max_missing, knn, knn_columns)
     owned = DOMAIN_OWNED.get(dataset, ())
     key = group_key(df)
     if key is not None:

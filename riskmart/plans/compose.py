@@ -12,10 +12,13 @@ from pyspark.sql import types as T
 from riskmart.operators import clean, conform, generate, repair, scd, validate
 from riskmart.operators.knn import impute_numeric
 from riskmart.plans import gate, marts, measures, scoring
+from riskmart.plans.runlog import step_log
 from riskmart.session import settle
 from riskmart.sources.date_dim import build_date_dim
 from riskmart.sources.files import add_lineage
 
+#: Facts without which a load is no load.
+REQUIRED_FACTS = ("FactLoan", "FactCustomer", "FactCredit", "FactFraud", "FactMarket", "FactEconomicIndicators")
 KINDS = ("process", "transform", "validate", "fix")
 
 
@@ -52,11 +55,11 @@ class Strategies:
 
 # --- from raw to cooked --------------------------------------------------------------------------------------------
 
-def clean_dataset(df: DataFrame, key: Sequence[str], owner: str | None = None, seed: int = 0, keep: Sequence[str] = ()) -> DataFrame:
-    """Text, dates, numbers, categories and a first clean-up."""
+def clean_dataset(df: DataFrame, key: Sequence[str], owner: str | None = None, seed: int = 0, keep: Sequence[str] = (), k: int | None = None) -> DataFrame:
+    """Text, dates, numbers, categories and a first clean-up. Numbers take the median, or the mean of ``k`` neighbours."""
     df = clean.infer_numeric(clean.clean_text(df))
     df = clean.parse_durations(clean.parse_dates(df))
-    df = settle(impute_numeric(df, key, seed=seed))
+    df = settle(impute_numeric(df, key, k, seed=seed))
     df = clean.float_to_int(clean.round_numeric(df))
     df = clean.drop_redundant_columns(df, keep=[*key, *keep])
     return clean.cleanup(clean.fill_categorical(clean.binarize(df), owner, key))
@@ -90,11 +93,12 @@ def cook_dataset(df: DataFrame, dataset: str, schema: T.StructType, mapping: Map
 # --- from staged tables to the mart --------------------------------------------------------------------------------
 
 def stage_to_mart(staged: Mapping[str, DataFrame], as_of, country: str, log: DataFrame | None = None, existing: Mapping[str, DataFrame] | None = None,
-                  exact_date: bool = False, save=settle) -> dict[str, DataFrame]:
+                  exact_date: bool = False, save=settle, fail_on_error: bool = False) -> dict[str, DataFrame]:
     """One load: gate, dimensions, facts, scores, reconciliation.
 
     ``staged`` holds Loan, Fraud, Market and Macro, ``existing`` the mart tables of earlier loads. Tables used by several
-    later steps are saved once. The load stops when the loans or a required fact are empty.
+    later steps are saved once. The load stops when the loans or a required fact are empty, and with ``fail_on_error`` when a check of
+    the gate fails. ``etl_log`` has a row per saved table.
     """
     old = dict(existing or {})
     loan, fraud, market, macro = (staged[n] for n in gate.REQUIRED)
@@ -102,7 +106,9 @@ def stage_to_mart(staged: Mapping[str, DataFrame], as_of, country: str, log: Dat
         raise EmptyResult("the staged loans are empty")
     out: dict[str, DataFrame] = {}
     if log is not None:
-        out["gate"] = gate.validate_pre_production(staged, log, as_of)
+        out["gate"] = save(gate.validate_pre_production(staged, log, as_of))
+        if fail_on_error:
+            gate.require_pass(out["gate"])
     days = out["DimDate"] = old.get("DimDate", build_date_dim(loan.sparkSession, "2015-01-01", "2030-12-31"))
     types = out["DimLoanType"] = save(marts.small_dim(loan, "LoanType", "LoanTypeID", old.get("DimLoanType"), loose=True))
     latest = ["LoanDate", "LoanID"]
@@ -125,7 +131,7 @@ def stage_to_mart(staged: Mapping[str, DataFrame], as_of, country: str, log: Dat
     out["FactFraud"] = save(marts.fact_fraud(fraud, customers, transactions, old.get("FactFraud")))
     out["FactMarket"] = save(marts.fact_market(market, indexes, days, old.get("FactMarket")))
     out["FactEconomicIndicators"] = save(marts.fact_economic(macro, places, days, old.get("FactEconomicIndicators")))
-    for name in ("FactLoan", "FactCustomer", "FactCredit"):
+    for name in REQUIRED_FACTS:
         if out[name].isEmpty():
             raise EmptyResult(f"{name} is empty after the load")
 
@@ -136,9 +142,11 @@ def stage_to_mart(staged: Mapping[str, DataFrame], as_of, country: str, log: Dat
                .join(places, "CountryID"))
     rows = scoring.risk_profile(out["FactCustomer"], out["FactCredit"], out["FactLoan"], cases, prices, economy, as_of, country,
                                 old.get("FactRiskProfile"), exact_date)
-    out["FactRiskProfile"] = scoring.update_risk_profile(old["FactRiskProfile"], rows) if "FactRiskProfile" in old else rows
+    out["FactRiskProfile"] = save(scoring.update_risk_profile(old["FactRiskProfile"], rows) if "FactRiskProfile" in old else rows)
 
     current = scd.current_rows(customers)
     out["reconciliation"] = validate.reconcile_counts("customers", current, out["FactCustomer"].select("CustomerSK").distinct()).unionByName(
         validate.reconcile_counts("loans", loan, out["FactLoan"]))
+    steps = [step_log(df, "stage_to_mart", name, 0, as_of) for name, df in out.items() if name.startswith(("Dim", "Fact"))]
+    out["etl_log"] = reduce(DataFrame.unionByName, steps)
     return out

@@ -11,7 +11,6 @@ from riskmart.session import settle
 
 KEY = ["CustomerSK", "AccountSK"]
 DATED = [*KEY, "AsOfDate"]
-MAX_SCENARIOS = 100
 
 # Probability of default by credit score, multiplier by days past due, loss given default by collateral.
 PD_12M_BY_SCORE = ((750, 0.005), (700, 0.01), (650, 0.02), (600, 0.05), (550, 0.10))
@@ -119,15 +118,7 @@ def stage_history(stages: DataFrame, history: DataFrame | None, as_of) -> DataFr
 
 
 def update_stages(target: DataFrame, rows: DataFrame) -> DataFrame:
-    """Stage table with the rows of one run upserted.
-
-    The rows are saved first: their date is a literal, and two literal dates that differ would fold the whole join
-    condition to false and leave a join without keys.
-    """
-    return _merge_stages(target, settle(rows))
-
-
-def _merge_stages(target: DataFrame, rows: DataFrame) -> DataFrame:
+    """Stage table with the rows of one run upserted."""
     return upsert(target, rows, DATED, [c for c in rows.columns if c not in DATED])
 
 
@@ -209,15 +200,6 @@ def active_scenarios(scenarios: DataFrame, as_of, include_all: bool = False) ->
     return scenarios.filter(keep).select("ScenarioID", "ScenarioName", "ScenarioWeight")
 
 
-def _scenario_rows(active: DataFrame) -> Column:
-    """The scenario table as an array literal; its size is checked."""
-    rows = active.select("ScenarioID", "ScenarioWeight").limit(MAX_SCENARIOS + 1).collect()
-    if len(rows) > MAX_SCENARIOS:
-        raise ValueError(f"more than {MAX_SCENARIOS} scenarios")
-    cells = [F.struct(F.lit(r[0]).cast("int").alias("ScenarioID"), F.lit(float(r[1])).alias("ScenarioWeight")) for r in rows]
-    return F.array(*cells) if cells else F.array().cast("array<struct<ScenarioID:int,ScenarioWeight:double>>")
-
-
 def ecl(params: DataFrame, stages: DataFrame, loans: DataFrame, scenarios: DataFrame, as_of, include_all: bool = False,
         scenario_mode: str = "param") -> DataFrame:
     """Expected credit loss per account.
@@ -227,10 +209,12 @@ def ecl(params: DataFrame, stages: DataFrame, loans: DataFrame, scenarios: DataF
     active = active_scenarios(scenarios, as_of, include_all or scenario_mode == "all")
     day = _day(as_of)
     rows = params.filter(F.col("AsOfDate") == day)
-    chosen = _scenario_rows(active)
+    scenario = F.struct(F.col("ScenarioID").cast("int").alias("ScenarioID"), F.col("ScenarioWeight").cast("double").alias("ScenarioWeight"))
     if scenario_mode == "param":
-        chosen = F.filter(chosen, lambda s: s["ScenarioID"] == F.col("MacroeconomicScenarioID"))
-    rows = rows.withColumn("_s", F.explode(chosen))
+        named = active.select(F.col("ScenarioID").alias("_named"), scenario.alias("_s"))
+        rows = rows.join(named, F.col("MacroeconomicScenarioID") == F.col("_named")).drop("_named")
+    else:  # every row meets every scenario: that is the mode
+        rows = attach_stats(rows, active.agg(F.collect_list(scenario).alias("_all"))).withColumn("_s", F.explode("_all")).drop("_all")
     rows = rows.join(stages.filter(F.col("AsOfDate") == day).select(*KEY, "ECLStage"), KEY)
     balances = loans.select(*KEY, F.col("CurrentBalance").cast("double").alias("_balance"), F.col("IsActive").alias("_active"))
     rows = rows.join(balances, KEY, "left").filter("_active = 1 or _active is null")
@@ -341,7 +325,7 @@ def run_ifrs9(accounts: DataFrame, loans: DataFrame, scenarios: DataFrame, as_of
     classify = classify_instruments if has_flags else classify_instruments_basic
     out = {"classification": classify(accounts, old.get("classification"), as_of), "loans": loans}
     rows = save(stage_history(ecl_stage(loans, as_of), old.get("stages"), as_of))
-    out["stages"] = _merge_stages(old["stages"], rows) if "stages" in old else rows
+    out["stages"] = update_stages(old["stages"], rows) if "stages" in old else rows
     params = save(ecl_parameters(loans, rows, as_of))
     out["params"] = upsert(old["params"], params, DATED, [c for c in params.columns if c not in DATED]) if "params" in old else params
     loss = save(ecl(params, rows, loans, scenarios, as_of, include_all, scenario_mode))

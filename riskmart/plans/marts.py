@@ -156,13 +156,14 @@ def fact_account(loans: DataFrame, accounts: DataFrame, existing: DataFrame | No
 
 
 def fact_fraud(fraud: DataFrame, customers: DataFrame, transactions: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """One row per transaction of a current customer that is not loaded yet."""
+    """One row per transaction of a current customer that is not loaded yet; of a transaction staged twice, the row that sorts last."""
     owners = customers.filter("IsCurrent = 1").select("CustomerID", "CustomerSK")
     rows = (
         fraud.join(owners, "CustomerID")
         .join(transactions.select("TransactionID", "TransactionDateID"), "TransactionID")
         .select("TransactionID", "TransactionDateID", "CustomerSK", *_present(fraud, FRAUD_VALUES))
     )
+    rows = one_per_key(rows, ["CustomerSK", "TransactionID"], ["TransactionDateID"]).select(*rows.columns)
     if existing is None:
         return rows
     return existing.unionByName(rows.join(existing, ["CustomerSK", "TransactionID"], "left_anti"), allowMissingColumns=True)
@@ -187,7 +188,7 @@ def fact_market(market: DataFrame, indexes: DataFrame, dates: DataFrame, existin
 
 
 def fact_economic(macro: DataFrame, countries: DataFrame, dates: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """Economic indicators inserted where (day, country) is absent."""
+    """Economic indicators inserted where (day, country) is absent; of a pair staged twice, the row that sorts last."""
     values = _present(macro, MACRO_VALUES)
     days = dates.select(F.col("FullDate").alias("_day"), F.col("DateID").alias("ReportDateID"))
     key = ["ReportDateID", "CountryID"]
@@ -196,6 +197,7 @@ def fact_economic(macro: DataFrame, countries: DataFrame, dates: DataFrame, exis
         .join(countries, "CountryName")
         .select(*key, *values)
     )
+    rows = one_per_key(rows, key, []).select(*rows.columns)
     if existing is None:
         return dense_key(rows, key, "EconomicID").select("EconomicID", *key, *values)
     fresh = dense_key(rows.join(existing, key, "left_anti"), key, "EconomicID", next_key(existing, "EconomicID"))

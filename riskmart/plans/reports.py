@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from riskmart.functions.expr import null_apart
+
 # Market region -> country of the economic row.
 REGION_COUNTRY = {"North America": "USA", "Europe": "EU", "Asia": "China"}
 CUSTOMER_COLS = ["CustomerSK", "CustomerID", "Age", "EmploymentStatus", "JobTitle", "HomeOwnershipStatus", "MaritalStatus", "PreviousLoanDefault"]
@@ -64,10 +66,13 @@ def fraud_analysis(fraud: DataFrame, dates: DataFrame, customers: DataFrame, fac
     """Fraud cases with calendar, owner, loan if known, and the loss after recovery."""
     days = dates.select(F.col("DateID").alias("DetectionDateID"), F.col("FullDate").alias("DetectionDate"), F.col("Year").alias("DetectionYear"),
                         F.col("Quarter").alias("DetectionQuarter"), F.col("MonthNumber").alias("DetectionMonth"))
-    loans = fact_loan.select("LoanID", "LoanAmount", "LoanDurationMonths", "InterestRate", "LoanTypeID")
+    loans = fact_loan.select(F.col("LoanID").cast("string").alias("_loan_key"), "LoanAmount", "LoanDurationMonths", "InterestRate", "LoanTypeID")
+    kinds = types.select(F.col("LoanTypeID").cast("string").alias("_type_key"), "LoanType")
     owners = customers.select("CustomerSK", "CustomerID", "Age", "EmploymentStatus", "HomeOwnershipStatus")
     return (
-        fraud.join(days, "DetectionDateID").join(owners, "CustomerSK").join(loans, "LoanID", "left").join(types.select("LoanTypeID", "LoanType"), "LoanTypeID", "left")
+        fraud.join(days, "DetectionDateID").join(owners, "CustomerSK")
+        .withColumn("_loan", null_apart("LoanID")).join(loans, F.col("_loan") == F.col("_loan_key"), "left")
+        .withColumn("_type", null_apart("LoanTypeID")).join(kinds, F.col("_type") == F.col("_type_key"), "left")
         .select("FraudID", "DetectionDate", "DetectionYear", "DetectionQuarter", "DetectionMonth",
                 *_have(fraud, "FraudType", "DetectionMethod", "InvestigationStatus", "Resolution"), "FraudAmount", "RecoveredAmount",
                 (F.col("FraudAmount") - F.col("RecoveredAmount")).alias("LossAmount"), "CustomerID", "Age", "EmploymentStatus", "HomeOwnershipStatus",

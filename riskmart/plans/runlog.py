@@ -12,14 +12,14 @@ LOG_SCHEMA = ("ProcedureName string, StepName string, Status string, RowsProcess
               "ExecutionDateTime timestamp, ErrorMessage string")
 
 
-def etl_dashboard(log: DataFrame, top: int = 100) -> DataFrame:
-    """Mean and longest run time by procedure and status, the first ``top`` groups by name."""
-    return (
+def etl_dashboard(log: DataFrame, top: int | None = None) -> DataFrame:
+    """Mean and longest run time by procedure and status, ordered by name; the first ``top`` groups only if asked for."""
+    out = (
         log.groupBy("ProcedureName", "Status")
         .agg(F.avg("ExecutionTimeSeconds").alias("AvgDurationSeconds"), F.max("ExecutionTimeSeconds").alias("MaxDurationSeconds"))
         .orderBy("ProcedureName", "Status")
-        .limit(top)
     )
+    return out if top is None else out.limit(top)
 
 
 def purge_log(log: DataFrame, as_of, days: int = 30) -> tuple[DataFrame, DataFrame]:

@@ -148,7 +148,7 @@ def p15(t):
 
 
 @query("p16_common_words", r"""
-WITH w AS (SELECT word, COUNT(*) AS n FROM (SELECT UNNEST(REGEXP_SPLIT_TO_ARRAY(REGEXP_REPLACE(LOWER(text), '[-_/]', ' ', 'g'), '\s+')) AS word FROM documents) WHERE word <> '' GROUP BY word),
+WITH w AS (SELECT word, COUNT(*) AS n FROM (SELECT UNNEST(STRING_SPLIT(TRANSLATE(LOWER(text), '-_/' || CHR(9) || CHR(10) || CHR(11) || CHR(12) || CHR(13), '        '), ' ')) AS word FROM documents) WHERE word <> '' GROUP BY word),
  f AS (SELECT n, ROW_NUMBER() OVER (ORDER BY n) - 1 AS i, COUNT(*) OVER () AS k FROM w),
  s AS (SELECT (MAX(n) FILTER (i = (k - 1) // 2) + MAX(n) FILTER (i = k // 2)) / 2.0 AS med, MAX(n) FILTER (i = CAST(FLOOR(k * 0.95) AS BIGINT)) AS up FROM f)
 SELECT word, n FROM w CROSS JOIN s WHERE n >= GREATEST(2, FLOOR(med + (up - med) * 0.5)) AND LENGTH(word) > 3""")
@@ -242,5 +242,5 @@ def p6(t):
     raw = t.customer.select(
         n, F.when(n % 5 != 0, F.col("c_acctbal")).when(n % 10 == 0, F.lit(float("inf"))).alias("balance"), F.when(n % 7 != 1, F.col("c_acctbal") / 10 + F.col("c_nationkey")).alias("related"),
         F.col("c_nationkey").alias("nation"), F.when(n % 6 != 0, (F.col("c_mktsegment") == "BUILDING").cast("int")).alias("flag"))
-    out = K.impute_numeric(raw, ["c_custkey"], seed=7)
+    out = K.impute_numeric(raw, ["c_custkey"], K.neighbours(raw.count()), seed=7)
     return out.withColumns({"balance": F.round("balance", 4), "related": F.round("related", 4)})

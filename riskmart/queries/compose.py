@@ -8,11 +8,13 @@ from riskmart.adapters import AS_OF
 from riskmart.operators import repair
 from riskmart.operators.validate import quality_score
 from riskmart.plans.compose import Strategies, cook_dataset, stage_to_mart
+from riskmart.plans.runlog import table_counts
 from riskmart.queries.keys import DIM_CUSTOMER
 from riskmart.queries.registry import Inputs, ctes, query
 from riskmart.queries.scores import ADAPTERS_ALL, BASE, COUNTRY, SCORES, AGG, SCORE_COLS
 from riskmart.schemas import MACRO
 
+LATER = "2024-03-01"
 MACRO_MAPPING = {c: c for c in ("ReportDate", "CountryName", "UnemploymentRate", "GDP", "DebtRatio", "DeficitRatio", "InflationRate", "ConsumerPriceIndex")}
 
 
@@ -42,12 +44,7 @@ def strategies() -> Strategies:
     s.register("fix", "online_flags", repair.fix_online_flags)
     s.register("fix", "fraud_ranges", lambda df: repair.fix_fraud(df, AS_OF))
     s.register("process", "keys_only", lambda df: df.select("TransactionID", "CustomerID", "IsOnlineTransaction", "IsUsedChip", "IsUsedPIN", "DistanceFromLastTransaction"))
-
-    def double_distance(batches):
-        for pdf in batches:
-            yield pdf.assign(DistanceFromLastTransaction=pdf["DistanceFromLastTransaction"] * 2)
-
-    s.register("transform", "double_distance", lambda df: df.mapInPandas(double_distance, df.schema))
+    s.register("transform", "double_distance", lambda df: df.withColumn("DistanceFromLastTransaction", F.col("DistanceFromLastTransaction") * 2))
     return s
 
 
@@ -71,6 +68,17 @@ def staged(t: Inputs):
     return {"Loan": t.stg_loan, "Fraud": t.stg_fraud, "Market": t.stg_market, "Macro": t.stg_macro}
 
 
+@query("e3_later_load")
+def e3_later(t):
+    """Rows of every table after a first load, after a second load of the same data a month later, and what the second load logged."""
+    first = stage_to_mart(staged(t), AS_OF, COUNTRY)
+    second = stage_to_mart(staged(t), LATER, COUNTRY, existing=first)
+    counts = [table_counts({k: v for k, v in out.items() if k.startswith(("Dim", "Fact"))}) for out in (first, second)]
+    both = counts[0].withColumnRenamed("RowCount", "FirstLoad").join(counts[1].withColumnRenamed("RowCount", "SecondLoad"), "TableName", "full")
+    log = second["etl_log"].select(F.col("StepName").alias("TableName"), F.col("RowsProcessed").alias("Logged"))
+    return both.join(log, "TableName", "left")
+
+
 @query("e3_stage_to_mart", ctes("SELECT CustomerSK, RiskTrend, RiskCategory, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in SCORE_COLS) + " FROM profile",
                                 *ADAPTERS_ALL, **BASE, scores=SCORES, agg=AGG, dim_customer=DIM_CUSTOMER, profile=FIRST_PROFILE))
 def e3(t):

@@ -10,7 +10,7 @@ from riskmart.queries.registry import ctes, query
 
 @query("o1_etl_dashboard", ctes("""
 SELECT ProcedureName, Status, ROUND(AVG(ExecutionTimeSeconds), 6) AS AvgDurationSeconds, MAX(ExecutionTimeSeconds) AS MaxDurationSeconds
-FROM run_log GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 100""", "run_log"))
+FROM run_log GROUP BY 1, 2 ORDER BY 1, 2""", "run_log"))
 def o1(t):
     return O.etl_dashboard(t.run_log).withColumn("AvgDurationSeconds", F.round("AvgDurationSeconds", 6))
 

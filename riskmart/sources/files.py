@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,6 +15,7 @@ from riskmart.session import stage_path
 FORMATS_IN = ("csv", "json", "parquet")
 FORMATS_OUT = ("csv", "json", "parquet")
 CORRUPT = "_corrupt_record"
+MANIFEST = "manifest"
 
 
 def read_source(spark: SparkSession, path: str, fmt: str | None = None, schema: T.StructType | str | None = None,
@@ -48,7 +50,7 @@ class TooManyErrors(RuntimeError):
     """More bad rows than the load allows."""
 
 
-def load_typed_csv(spark: SparkSession, path: str, schema: T.StructType, max_errors: int = 10,
+def load_typed_csv(spark: SparkSession, path: str, schema: T.StructType, max_errors: int,
                    reject_path: str | None = None, **options) -> tuple[DataFrame, DataFrame]:
     """CSV with header against a fixed schema: (good rows, rejected rows with the raw line).
 
@@ -73,18 +75,35 @@ def reload_tables(tables: Mapping[str, DataFrame], root: str, batch_id: str,
                   required: Sequence[str] = ()) -> tuple[dict[str, str], DataFrame]:
     """Full reload of several tables as one unit: a new snapshot folder ``root/batch_id`` and a table of row counts.
 
-    Nothing is written when a required table is missing, and an existing snapshot is never overwritten, so readers of
-    an earlier snapshot are not disturbed and a plan never overwrites its own input.
+    Nothing is written when a required table is missing. Tables go below a folder name of this attempt; the manifest (table, path,
+    rows), written last, publishes them all at once. Readers go by :func:`published`; an attempt that failed is invisible
+    and does not stand in the way of the next, and a published snapshot is never overwritten.
     """
     absent = [n for n in required if n not in tables]
     if absent:
         raise FileNotFoundError(f"missing source for: {', '.join(absent)}")
-    paths, counts, spark = {}, [], None
+    home = f"{root.rstrip('/')}/{batch_id}"
+    paths, counts, spark = {}, [], next(iter(tables.values())).sparkSession
+    if _exists(spark, f"{home}/{MANIFEST}"):
+        raise FileExistsError(f"snapshot {home} already exists")
+    attempt = uuid.uuid4().hex
     for name, df in tables.items():
-        spark = df.sparkSession
-        paths[name] = f"{root.rstrip('/')}/{batch_id}/{name}"
-        counts.append((name, write_output(df, paths[name], "parquet")))
-    return paths, spark.createDataFrame(counts, "table_name string, row_count bigint")
+        paths[name] = f"{home}/{attempt}/{name}"
+        counts.append((name, paths[name], write_output(df, paths[name], "parquet")))
+    manifest = spark.createDataFrame(counts, "table_name string, path string, row_count bigint")
+    manifest.coalesce(1).write.mode("errorifexists").json(f"{home}/{MANIFEST}")
+    return paths, manifest.drop("path")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def published(spark: SparkSession, root: str, batch_id: str) -> dict[str, DataFrame]:
+    """The tables of a published snapshot by its manifest."""
+    rows = spark.read.schema("table_name string, path string, row_count bigint").json(f"{root.rstrip('/')}/{batch_id}/{MANIFEST}").collect()
+    return {r["table_name"]: spark.read.parquet(r["path"]) for r in rows}
 
 
 def with_row_index(df: DataFrame, order_by: Sequence[str], name: str = "_row") -> DataFrame:

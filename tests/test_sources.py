@@ -20,7 +20,7 @@ def test_bad_lines_go_to_the_rejects_and_too_many_stop_the_load(spark, tmp_path)
     path = tmp_path / "in.csv"
     path.write_text("id,amount,day\n1,2.5,2024-01-01\n2,x,2024-01-02\n3,1.0,never\n4,4.0,2024-01-04\n")
     schema = T.StructType.fromDDL("id int, amount double, day date")
-    good, rejects = files.load_typed_csv(spark, str(path), schema, reject_path=str(tmp_path / "rejects"))
+    good, rejects = files.load_typed_csv(spark, str(path), schema, max_errors=2, reject_path=str(tmp_path / "rejects"))
     assert sorted(r["id"] for r in good.collect()) == [1, 4]
     assert sorted(r["id"] for r in rejects.collect()) == [2, 3]
     assert spark.read.json(str(tmp_path / "rejects")).count() == 2
