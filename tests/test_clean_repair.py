@@ -98,14 +98,14 @@ def test_raw_file_to_cooked_table(spark):
     assert out.count() > 30
     assert {"LoadBatchID", "HousePriceIndex"} <= set(out.columns)
     assert {r["stage"] for r in checks.select("stage").distinct().collect()} == {"pre", "post"}
-    with pytest.raises((EmptyResult, Exception)):
+    with pytest.raises(EmptyResult):
         cook_dataset(raw.limit(0), "Macro", MACRO, mapping, ["ReportDate", "CountryName"], "2024-01-30")
 
 
 def test_clean_dataset_converts_columns(spark):
     rows = [(i, f"{i}.5", "Yes" if i % 2 else "No", "2024-01-0%d" % (1 + i % 9), "2 years") for i in range(60)]
     out = clean_dataset(spark.createDataFrame(rows, "id int, price string, active string, open_date string, loan_term string"), ["id"])
-    assert dict(out.dtypes) == {"id": "int", "price": "double", "active": "int", "open_date": "timestamp", "loan_term_Months": "bigint"} or "price" not in out.columns
+    assert dict(out.dtypes) == {"id": "int", "price": "double", "active": "int", "open_date": "timestamp", "loan_term_Months": "bigint"}
 
 
 def test_strategies_by_name(spark):
