@@ -66,4 +66,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_packing, op2_quality_classifier, op3_simhash_golay, op4_quote_linking, op5_context_mixing, op6_fuzzy_lines, op7_quality_rules,
         op8_decontamination, op9_sharding, op10_language_id)}
-ORACLE: dict[str, str] = {}
+WORDS = r"LIST_FILTER(REGEXP_SPLIT_TO_ARRAY(TRANSLATE(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+#: Every window of every text, joined as it stands. Models, tokenizers, XXH64 and connected groups have no SQL form.
+ORACLE: dict[str, str] = {"op8_decontamination": f"""
+WITH d AS (SELECT ROW_NUMBER() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+ b AS (SELECT item_id, {WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+ iw AS (SELECT DISTINCT item_id, n, ARRAY_TO_STRING(w[i:i + n - 1], ' ') AS win FROM (
+  SELECT item_id, w, LEAST(LEN(w), 10) AS n, UNNEST(RANGE(1, LEN(w) - LEAST(LEN(w), 10) + 2)) AS i FROM b WHERE LEN(w) > 0)),
+ dw AS (SELECT r, i, n, ARRAY_TO_STRING(w[i:i + n - 1], ' ') AS win FROM (
+  SELECT r, w, n, UNNEST(RANGE(1, LEN(w) - n + 2)) AS i FROM d CROSS JOIN (SELECT DISTINCT n FROM iw) WHERE LEN(w) >= n)),
+ h AS (SELECT DISTINCT r, i, n, item_id FROM dw JOIN iw USING (n, win)),
+ c AS (SELECT r, COUNT(DISTINCT p) AS n_hit FROM (SELECT r, UNNEST(RANGE(i, i + n)) AS p FROM h) GROUP BY r),
+ s AS (SELECT r, COUNT(*) AS n_items, SHA256(STRING_AGG(id, ',' ORDER BY id)) AS items_sha256 FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM h) GROUP BY r)
+SELECT doc_id, CAST(LEN(w) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items, COALESCE(items_sha256, SHA256('')) AS items_sha256,
+ COALESCE(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN c USING (r) LEFT JOIN s USING (r)"""}

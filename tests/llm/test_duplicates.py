@@ -9,7 +9,8 @@ import xxhash
 
 from riskmart.llm import near, simhash, winnow
 from riskmart.llm.common import ASCII_LOWER
-from riskmart.llm.queries import QUERIES
+from riskmart.llm.queries import ORACLE, QUERIES
+from tests.compare import compare
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 TOKEN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -120,9 +121,10 @@ def check_contamination(rows, docs, items):
     assert got == sorted((d or -1, *slow_contamination(t, items)) for d, t in docs)
 
 
-def test_decontamination(spark, sf_dir, texts):
+def test_decontamination(spark, sf_dir, texts, duck):
     items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
     rows = QUERIES["op8_decontamination"](spark, sf_dir).collect()
+    assert compare(QUERIES["op8_decontamination"](spark, sf_dir), duck, ORACLE["op8_decontamination"]) == []
     check_contamination(rows, list(zip(texts["doc_id"], texts["text"])), items)
     assert any(r["contaminated"] for r in rows)
 
