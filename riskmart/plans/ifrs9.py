@@ -202,7 +202,7 @@ def active_scenarios(scenarios: DataFrame, as_of, include_all: bool = False) ->
 
 def ecl(params: DataFrame, stages: DataFrame, loans: DataFrame, scenarios: DataFrame, as_of, include_all: bool = False,
         scenario_mode: str = "param") -> DataFrame:
-    """Expected credit loss per account.
+    """Expected credit loss per account. Without balances the gross amount is a fixed default, without an active flag no loan is left out.
 
     ``scenario_mode='param'`` takes the one scenario a parameter row names, ``'all'`` weighs every active scenario.
     """
@@ -216,7 +216,8 @@ def ecl(params: DataFrame, stages: DataFrame, loans: DataFrame, scenarios: DataF
     else:  # every row meets every scenario: that is the mode
         rows = attach_stats(rows, active.agg(F.collect_list(scenario).alias("_all"))).withColumn("_s", F.explode("_all")).drop("_all")
     rows = rows.join(stages.filter(F.col("AsOfDate") == day).select(*KEY, "ECLStage"), KEY)
-    balances = loans.select(*KEY, F.col("CurrentBalance").cast("double").alias("_balance"), F.col("IsActive").alias("_active"))
+    balance = F.col("CurrentBalance").cast("double") if "CurrentBalance" in loans.columns else F.lit(GROSS_DEFAULT)
+    balances = loans.select(*KEY, balance.alias("_balance"), (F.col("IsActive") if "IsActive" in loans.columns else F.lit(1)).alias("_active"))
     rows = rows.join(balances, KEY, "left").filter("_active = 1 or _active is null")
     growth, months = 1 / (1 + F.col("EIR")), F.col("Maturity")
     short = F.pow(growth, months / 12.0)
@@ -331,6 +332,12 @@ def run_ifrs9(accounts: DataFrame, loans: DataFrame, scenarios: DataFrame, as_of
     loss = save(ecl(params, rows, loans, scenarios, as_of, include_all, scenario_mode))
     out["calc"] = replace_date(old.get("calc"), loss, as_of)
     before = previous_run(old.get("calc"), as_of)
+    if "movement" in old:
+        out["movement"] = old["movement"]
     if before is not None:
-        out["movement"] = ecl_movement(out["calc"], out["stages"], out["params"], before, as_of, old.get("loans"), loans)
+        moved = ecl_movement(out["calc"], out["stages"], out["params"], before, as_of, old.get("loans"), loans)
+        if "movement" in old:  # every period once, the latest calculation of it
+            same = (F.col("FromDate") == _day(before)) & (F.col("ToDate") == _day(as_of))
+            moved = old["movement"].filter(~same).unionByName(moved)
+        out["movement"] = save(moved)
     return out

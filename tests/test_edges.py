@@ -116,3 +116,16 @@ def test_reload_survives_a_failure_in_the_middle(spark, tmp_path):
         files.published(spark, str(tmp_path), "b1")
     files.reload_tables({"A": spark.range(2), "B": spark.range(4)}, str(tmp_path), "b1")
     assert {k: v.count() for k, v in files.published(spark, str(tmp_path), "b1").items()} == {"A": 2, "B": 4}
+
+
+def test_movements_of_all_periods_are_kept(spark):
+    loans = spark.createDataFrame([(1, 10, 700, 0, 12), (2, 20, 500, 95, 48)], "CustomerSK int, AccountSK int, CreditScore int, DaysPastDue int, TermMonths int").withColumns({
+        "IsActive": F.lit(1), "CreditScoreDecreasePercent": F.lit(0.0), "CurrentBalance": F.lit(500.0), "InterestRate": F.lit(5.0), "MaturityDate": F.lit("2030-01-01").cast("date"),
+        **{c: F.lit(0) for c in ("IsDefaulted", "BankruptcyFlag", "ChargeOffFlag", "WatchListFlag", "ModifiedLoanFlag", "ForbearanceFlag")}})
+    accounts = spark.createDataFrame([(1, 10, "Loan"), (2, 20, "Loan")], "CustomerSK int, AccountSK int, AccountType string")
+    state = None
+    for day in ("2024-01-01", "2024-02-01", "2024-03-01", "2024-03-01"):
+        state = ifrs9.run_ifrs9(accounts, loans, ifrs9.seed_scenarios(spark), day, state)
+    periods = sorted((str(r["FromDate"]), str(r["ToDate"])) for r in state["movement"].select("FromDate", "ToDate").distinct().collect())
+    assert periods == [("2024-01-01", "2024-02-01"), ("2024-02-01", "2024-03-01")]
+    assert state["movement"].count() == 4
