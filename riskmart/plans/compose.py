@@ -83,6 +83,8 @@ def cook_dataset(df: DataFrame, dataset: str, schema: T.StructType, mapping: Map
     fixed = settle(repair.repair_dataset(filled, dataset, as_of))
     after = validate.validate_dataset(fixed, dataset, as_of, "post", schema)
     done = conform.conform_constraints(clean.cleanup(fixed), dataset, schema, key)
+    if dataset == "Loan" and "AccountID" in done.columns:
+        done = conform.suffix_duplicate_ids(done, "AccountID", key)
     if batch_id is not None:
         done = add_lineage(done, batch_id, as_of)
     if done.isEmpty():
