@@ -38,9 +38,9 @@ from riskmart.session import staged
 
 DEPTH = 40
 TABLE_BITS = (16, 20, 21)
-PART_TYPES = 150_000
-BLOCK_TOKENS = 3_000_000
-FLUSH_TYPES = 400_000
+PART_TYPES = 60_000
+BLOCK_TOKENS = 2_000_000
+FLUSH_TYPES = 300_000
 LEVELS = 14
 GATES = LEVELS * 2 * 8
 #: Classes of texts, the one for all further languages included; what a word gains in each is sent in steps of 1 / STEP.
@@ -189,12 +189,12 @@ def table_counts(trie: Trie) -> np.ndarray:
         on = n > 0
         context, byte, n = context[on], byte[on], n[on]
         for j in range(8):
-            at = slot(order, context, (1 << j) | (byte >> (8 - j)))
-            rows.append(np.stack([base + at, np.where(byte >> (7 - j) & 1, 0, n), np.where(byte >> (7 - j) & 1, n, 0)]))
+            at, bit = slot(order, context, (1 << j) | (byte >> (8 - j))), byte >> (7 - j) & 1
+            ones, total = np.bincount(at, n * bit, 1 << TABLE_BITS[order]), np.bincount(at, n, 1 << TABLE_BITS[order])
+            on = np.flatnonzero(total)
+            rows.append(np.stack([base + on, total[on] - ones[on], ones[on]], axis=1).astype(np.int64))
         base += 1 << TABLE_BITS[order]
-    place, zero, one = np.concatenate(rows, axis=1)
-    uniq, back = np.unique(place, return_inverse=True)
-    return np.stack([uniq, np.bincount(back, zero).astype(np.int64), np.bincount(back, one).astype(np.int64)], axis=1)
+    return np.concatenate(rows)
 
 
 def logit(ones, total, prior):
