@@ -349,15 +349,18 @@ def score_types(types: DataFrame) -> DataFrame:
 
     def train(pdf: pd.DataFrame, rim: pd.DataFrame) -> pd.DataFrame:
         if not len(pdf) or not pdf["c"].any():
-            return pd.DataFrame({"place": pd.Series(dtype="int64"), "value": pd.Series(dtype="float64")})
+            return pd.DataFrame({"part": pd.Series(dtype="int32"), "value": pd.Series(dtype=object)})
         w, mass, ones, seen = learn(*prepared(pdf, rim), tables.value)
         value = np.concatenate([(w * mass[:, None]).ravel(), mass, ones.ravel(), seen.ravel()])
-        return pd.DataFrame({"place": np.arange(len(value)), "value": value})
+        return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "value": [value.tobytes()]})
+
+    def total(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"value": [sum(np.frombuffer(v) for v in pdf["value"]).tobytes()]})
 
     pair = plain.groupBy("part").cogroup(bounds.groupBy("part"))
-    learned = pair.applyInPandas(train, "place long, value double").groupBy("place").agg(F.sum("value").alias("value")).toPandas()
-    value = np.zeros(GATES * (INPUTS + 1) + 2 * LEVELS * BINS)
-    value[learned["place"].to_numpy(int)] = learned["value"].to_numpy(float)
+    # one row of sums per part, added up in up to 64 tasks and then here
+    learned = pair.applyInPandas(train, "part int, value binary").groupBy(F.pmod("part", F.lit(64))).applyInPandas(total, "value binary").collect()
+    value = sum((np.frombuffer(bytes(r["value"])) for r in learned), np.zeros(GATES * (INPUTS + 1) + 2 * LEVELS * BINS))
     w, mass, ones, seen = np.split(value, np.cumsum([GATES * INPUTS, GATES, LEVELS * BINS]))
     w = np.where(mass[:, None] > 0, w.reshape(GATES, INPUTS) / np.maximum(mass, 1)[:, None], fresh_weights())
     middle = squash(np.linspace(-CLIP, CLIP, BINS))
@@ -394,7 +397,7 @@ def requests(documents: DataFrame) -> DataFrame:
     def ask(batches):
         from pyspark import TaskContext
 
-        task, blocks, ids, marks, lengths, numbers, tokens, book = TaskContext.get().partitionId(), 0, [], [], [], [], 0, {}
+        task, blocks, ids, marks, lengths, sizes, numbers, tokens, book = TaskContext.get().partitionId(), 0, [], [], [], [], [], 0, {}
 
         def rows():
             nonlocal blocks, tokens
@@ -410,15 +413,15 @@ def requests(documents: DataFrame) -> DataFrame:
             postings = pa.Array.from_buffers(pa.binary(), len(book), [None, pa.py_buffer(cut.tobytes()), pa.py_buffer(post.tobytes())])
             own = [b" %d %d" % (name, i) for i in range(len(ids))]
             empty = lambda k, t: pa.nulls(k, t)
-            for token, posting, who, held, size in (
-                    (pa.array(list(book), pa.binary()), postings, empty(len(book), pa.string()), empty(len(book), pa.bool_()), empty(len(book), pa.int64())),
-                    (pa.array(own, pa.binary()), empty(len(ids), pa.binary()), pa.array(ids, pa.string()), pa.array(marks, pa.bool_()), pa.array(lengths, pa.int64()))):
+            for token, posting, who, held, size, length in (
+                    (pa.array(list(book), pa.binary()), postings, empty(len(book), pa.string()), empty(len(book), pa.bool_()), *[empty(len(book), pa.int64())] * 2),
+                    (pa.array(own, pa.binary()), empty(len(ids), pa.binary()), pa.array(ids, pa.string()), pa.array(marks, pa.bool_()), pa.array(lengths, pa.int64()), pa.array(sizes, pa.int64()))):
                 k = len(token)
                 nth = pa.array(np.arange(k) if size.null_count == 0 else np.zeros(k, np.int64), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(k, name), pa.int64()), token, posting, who, held, size, nth],
-                                                 names=["block", "token", "postings", "doc_id", "held_out", "n_tokens", "nth"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(k, name), pa.int64()), token, posting, who, held, size, length, nth],
+                                                 names=["block", "token", "postings", "doc_id", "held_out", "n_tokens", "n_bytes", "nth"])
             blocks, tokens = blocks + 1, 0
-            for x in (ids, marks, lengths, numbers, book):
+            for x in (ids, marks, lengths, sizes, numbers, book):
                 x.clear()
 
         for batch in batches:
@@ -433,13 +436,14 @@ def requests(documents: DataFrame) -> DataFrame:
                 ids.append(who[i])
                 marks.append(held[i])
                 lengths.append(len(words))
+                sizes.append(sum(map(len, words)) + len(words))
                 tokens += len(words)
                 if tokens >= BLOCK_TOKENS or len(ids) == 65535:
                     yield from rows()
         if ids:
             yield from rows()
 
-    schema = "block long, token binary, postings binary, doc_id string, held_out boolean, n_tokens long, nth long"
+    schema = "block long, token binary, postings binary, doc_id string, held_out boolean, n_tokens long, n_bytes long, nth long"
     return documents.mapInArrow(ask, schema)
 
 
@@ -451,7 +455,7 @@ def lm_scores(documents: DataFrame, modulus: int = 10, held: int = 0) -> DataFra
     size = scored.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
     n, v = int(size["n"]), int(size["v"])
     share = class_shares(counted)
-    kept = scored.select("token", "c", "logp", "gain", (F.octet_length("token") + 1).alias("bytes"))
+    kept = scored.select("token", "c", F.col("logp").cast("float").alias("logp"), "gain")
 
     asked = requests(documents.select(F.col("doc_id").cast("string").alias("doc_id"), "text", held_out.alias("held_out")))
     answered = asked.join(kept, "token", "left").drop("token")
@@ -471,7 +475,7 @@ def lm_scores(documents: DataFrame, modulus: int = 10, held: int = 0) -> DataFra
         return pd.DataFrame({
             "doc_id": docs["doc_id"].to_numpy(), "held_out": docs["held_out"].astype(bool).to_numpy(), "n_tokens": docs["n_tokens"].astype("int64").to_numpy(),
             "n_known": np.rint(total((c > 0).astype(float))).astype(np.int64), "base_score": total(np.log10((c + 0.1) / (n + 0.1 * (v + 1)))),
-            "score": total(hits["logp"].to_numpy(float)) + kind, "_bytes": total(hits["bytes"].to_numpy(float))})
+            "score": total(hits["logp"].to_numpy(float)) + kind, "_bytes": docs["n_bytes"].to_numpy(float)})
 
     schema = StructType([StructField("doc_id", StringType()), StructField("held_out", BooleanType()), StructField("n_tokens", LongType()),
                          StructField("n_known", LongType()), StructField("base_score", DoubleType()), StructField("score", DoubleType()), StructField("_bytes", DoubleType())])
