@@ -44,32 +44,35 @@ def bits_apart(a: str | Column, b: str | Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def linked(keyed: DataFrame, most_bits: int, verify: Callable[[DataFrame], DataFrame] = lambda pairs: pairs) -> DataFrame:
-    """(node, root) of the groups over all links of ``keyed`` (key, node, fp): same key, fingerprints ``most_bits`` apart at most, verified.
+def linked(keys: DataFrame, nodes: DataFrame, most_bits: int, ratio: float = 0.0, verify: Callable[[DataFrame], DataFrame] = lambda pairs: pairs) -> DataFrame:
+    """(node, root) of the groups over all links: a key shared, fingerprints ``most_bits`` apart at most, sizes within ``ratio``, verified.
 
-    Keys of one node go at once (one window over the keys). What is left of a bucket first links to its smallest node: a star, as many
-    rows as members. Only buckets whose members are then still in different groups are joined with themselves, and of their pairs
-    only those between groups survive the join condition. So a bucket of many like nodes costs its size, and no link that joins two
-    groups is lost. ``verify`` keeps those rows of (a, b, fp_a, fp_b) that are true links.
+    ``keys`` is (key, node), ``nodes`` (node, fp, size). Keys of one node go at once (one window over keys and nodes alone). What is left
+    of a bucket first links to its smallest node: a star, as many rows as members. Only buckets whose members are then still in
+    different groups are joined with themselves, and of their pairs only those between groups survive the join condition. So a bucket
+    of many like nodes costs its size, and no link that joins two groups is lost. ``verify`` keeps those rows of (a, b) that are true links.
     """
     bucket = Window.partitionBy("key")
-    shared = keyed.select("key", "node", "fp", F.count("*").over(bucket).alias("_n"),
-                          F.min(F.struct("node", "fp")).over(bucket).alias("_hub")).where("_n > 1")
-    shared = staged(shared.select("key", "node", "fp", F.col("_hub.node").alias("hub"), F.col("_hub.fp").alias("hub_fp")), "buckets")
-    star = shared.where((F.col("node") != F.col("hub")) & (bits_apart("fp", "hub_fp") <= most_bits))
-    star = star.select(F.col("hub").alias("a"), F.col("node").alias("b"), F.col("hub_fp").alias("fp_a"), F.col("fp").alias("fp_b")).distinct()
-    first = staged(components(verify(star).select("a", "b")), "first")
-    grouped = shared.select("key", "node", "fp").join(first, "node", "left").withColumn("group", F.coalesce("root", "node"))
-    mixed = grouped.select("key", "node", "fp", "group", (F.min("group").over(bucket) != F.max("group").over(bucket)).alias("_mixed"))
-    mixed = staged(mixed.where("_mixed").select("key", "node", "fp", "group"), "mixed")
-    left = mixed.select("key", *[F.col(c).alias(f"l_{c}") for c in ("node", "fp", "group")])
-    right = mixed.select("key", *[F.col(c).alias(f"r_{c}") for c in ("node", "fp", "group")])
-    pairs = left.join(right, (left["key"] == right["key"]) & (F.col("l_group") < F.col("r_group"))
-                      & (bits_apart("l_fp", "r_fp") <= most_bits))
-    pairs = pairs.select(F.col("l_node").alias("a"), F.col("r_node").alias("b"), F.col("l_fp").alias("fp_a"), F.col("r_fp").alias("fp_b"),
-                         F.col("l_group").alias("g"), F.col("r_group").alias("h")).distinct()
+    shared = staged(keys.select("key", "node", F.count("*").over(bucket).alias("_n")).where("_n > 1").select("key", "node"), "shared")
+    facts = staged(nodes.join(shared.select("node").distinct(), "node").select("node", "fp", "size"), "facts")
+    shared = shared.join(facts, "node").select("key", "node", "fp", "size", F.min(F.struct("node", "fp", "size")).over(bucket).alias("hub"))
+    shared = staged(shared, "buckets")
+
+    def near(a: str, b: str) -> Column:
+        low, high = F.least(F.col(f"{a}size"), F.col(f"{b}size")), F.greatest(F.col(f"{a}size"), F.col(f"{b}size"))
+        return (bits_apart(f"{a}fp", f"{b}fp") <= most_bits) & (low >= F.lit(ratio) * high)
+
+    star = shared.where((F.col("node") != F.col("hub.node")) & near("", "hub."))
+    star = star.select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct()
+    first = staged(components(verify(star)), "first")
+    grouped = shared.drop("hub").join(first, "node", "left").withColumn("group", F.coalesce("root", "node"))
+    mixed = grouped.select("key", "node", "fp", "size", "group", (F.min("group").over(bucket) != F.max("group").over(bucket)).alias("_mixed"))
+    mixed = staged(mixed.where("_mixed").drop("_mixed"), "mixed")
+    left, right = (mixed.select([F.col(c).alias(f"{side}_{c}") for c in mixed.columns]) for side in "lr")
+    pairs = left.join(right, (F.col("l_key") == F.col("r_key")) & (F.col("l_group") < F.col("r_group")) & near("l_", "r_"))
+    pairs = pairs.select(F.col("l_node").alias("a"), F.col("r_node").alias("b"), F.col("l_group").alias("g"), F.col("r_group").alias("h")).distinct()
     second = components(verify(pairs).select(F.col("g").alias("a"), F.col("h").alias("b")))
     second = second.select(F.col("node").alias("_group"), F.col("root").alias("_root"))
-    nodes = first.select("node", "root").unionByName(  # groups of one node that only the second step linked
+    every = first.select("node", "root").unionByName(  # groups of one node that only the second step linked
         second.select(F.col("_group").alias("node"), F.col("_group").alias("root")).join(first.select("node"), "node", "left_anti"))
-    return staged(nodes.join(second, F.col("root") == F.col("_group"), "left").select("node", F.coalesce("_root", "root").alias("root")), "linked")
+    return staged(every.join(second, F.col("root") == F.col("_group"), "left").select("node", F.coalesce("_root", "root").alias("root")), "linked")

@@ -123,7 +123,7 @@ def fingerprint(text: Column) -> Column:
 
 
 def with_keys(fingerprints: DataFrame) -> DataFrame:
-    """(key, node, fp) of distinct fingerprints: some 88 keys each."""
+    """(key, node) of distinct fingerprints, a fingerprint being its own node: some 88 keys each."""
 
     def expand(batches):
         for pdf in batches:
@@ -131,15 +131,16 @@ def with_keys(fingerprints: DataFrame) -> DataFrame:
             for i in range(0, len(all_fp), ROW_CHUNK // 8):
                 fp = all_fp[i: i + ROW_CHUNK // 8]
                 row, key = keys_of(fp)
-                yield pd.DataFrame({"key": key, "node": fp[row], "fp": fp[row]}).drop_duplicates()
+                yield pd.DataFrame({"key": key, "node": fp[row]}).drop_duplicates()
 
-    return fingerprints.select("fp").mapInPandas(expand, "key long, node long, fp long")
+    return fingerprints.select("fp").mapInPandas(expand, "key long, node long")
 
 
 def groups(marked: DataFrame, most_bits: int = 3) -> DataFrame:
     """(fp, root) for every distinct fingerprint of ``marked`` (fp): root names its group of linked fingerprints."""
     distinct = staged(marked.select("fp").distinct(), "fingerprints")
-    found = linked(with_keys(distinct), most_bits).withColumnRenamed("node", "fp")
+    nodes = distinct.select(F.col("fp").alias("node"), "fp", F.lit(0).alias("size"))
+    found = linked(with_keys(distinct), nodes, most_bits).withColumnRenamed("node", "fp")
     return distinct.join(found, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 

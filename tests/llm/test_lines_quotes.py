@@ -19,7 +19,7 @@ def norm(line):
 
 
 def simhash(words):
-    h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
+    h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in set(words)]
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
@@ -66,6 +66,7 @@ BASE = "the quick brown fox jumps over the lazy dog near the old river bank whil
 @pytest.mark.parametrize("limit", [500_000, 0])
 def test_fuzzy_lines(spark, documents, texts, limit, monkeypatch):
     monkeypatch.setattr(lines, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(lines, "LANE_WORDS", 30 if limit else 1 << 14)
     words = BASE.split() * 4
     near = [" ".join(words[:i] + [w] + words[i + 1:]) for i, w in ((50, "x"), (77, "foxes"), (90, "a"))]
     docs = [(int(d), t) for d, t in zip(texts["doc_id"][:60], texts["text"][:60])]
