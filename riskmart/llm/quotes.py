@@ -7,7 +7,8 @@ quoted lines point to is the parent, ties go to the latest. Messages without a p
 so that every reply stands below what it answers: by the path of turns from the start of the thread.
 
 No pairs are made: for each (conversation, line hash) one pass over its turns carries the latest earlier owner along, in blocks of turns
-whose last owner is summed up first, so that a line said in a third of all messages is spread. Depths grow by doubling.
+whose last owner is summed up first, so that a line said in a third of all messages is spread. Depths, starts of threads and the reply order (a tour of
+each tree, ranked as a list) grow by doubling, in rows of fixed width: a chain of n replies costs n rows a round, in about log2(2 n) rounds.
 
 Defined cases: NULL conversations are one conversation; a NULL turn can neither be quoted nor quote and comes last; NULL text is an empty
 message; several messages of one turn share its place in the tree, and stand in the order of role and a hash of the text; equal messages share one place; messages that quote
@@ -66,16 +67,41 @@ def parents(lines: DataFrame) -> DataFrame:
     return best.select("ck", "turn", "_b.parent", "_b.votes")
 
 
-def paths(answers: DataFrame) -> DataFrame:
-    """(ck, turn, path): the turns from the start of the thread down to each answering turn. The known part of the path doubles each round."""
-    at = staged(answers.select("ck", "turn", F.array("turn").alias("path"), F.col("parent").alias("up")), "paths")
-    while not at.where("up IS NOT NULL").isEmpty():
-        above = at.select("ck", F.col("turn").alias("up"), F.col("path").alias("_path"), F.col("up").alias("_up"))
-        joined = at.join(above, ["ck", "up"], "left")
-        # a message that answers nobody is not in the table: it starts the thread
-        head = F.when(F.col("up").isNull(), F.col("path")).when(F.col("_path").isNull(), F.concat(F.array("up"), "path")).otherwise(F.concat("_path", "path"))
-        at = staged(joined.select("ck", "turn", head.alias("path"), F.col("_up").alias("up")), "paths")
-    return at.select("ck", "turn", "path")
+def threads(answers: DataFrame) -> DataFrame:
+    """(ck, turn, thread_turn, depth) of each answering turn. The known stretch upwards doubles each round; rows keep their width."""
+    above = answers.select("ck", F.col("turn").alias("top"), F.lit(True).alias("_more"))
+    at = answers.select("ck", "turn", F.col("parent").alias("top"), F.lit(1).cast("long").alias("depth")).join(above, ["ck", "top"], "left")
+    at = staged(at.select("ck", "turn", "top", "depth", F.col("_more").isNull().alias("done")), "threads")
+    while not at.where("NOT done").isEmpty():
+        up = at.select("ck", F.col("turn").alias("top"), F.col("top").alias("_top"), F.col("depth").alias("_depth"), F.col("done").alias("_done"))
+        further = at.where("NOT done").join(up, ["ck", "top"]).select("ck", "turn", F.col("_top").alias("top"), (F.col("depth") + F.col("_depth")).alias("depth"), F.col("_done").alias("done"))
+        at = staged(at.where("done").unionByName(further), "threads")
+    return at.select("ck", "turn", F.col("top").alias("thread_turn"), "depth")
+
+
+def tour(answers: DataFrame, heads: DataFrame) -> DataFrame:
+    """(ck, turn, left): turns of the thread from this one to the end of the reply order, for all turns of threads with answers.
+
+    The tour enters and leaves every turn once, replies in the order of turns; the list is ranked by doubling, in rows of one width.
+    """
+    turn = dict(answers.dtypes)["turn"]
+    kids = staged(ranked(answers.select("ck", "parent", "turn"), ["ck", "parent"], "nth", ["turn"]), "replies")
+    nodes = answers.select("ck", "turn").unionByName(heads.select("ck", F.col("thread_turn").alias("turn")).distinct())
+    first = kids.where("nth = 0").select("ck", F.col("parent").alias("turn"), F.col("turn").alias("_to"))
+    enter = nodes.join(first, ["ck", "turn"], "left").select(
+        "ck", "turn", F.lit(False).alias("out"), F.coalesce("_to", "turn").alias("to_turn"), F.col("_to").isNull().alias("to_out"), F.lit(1).cast("long").alias("left"))
+    later = kids.select("ck", "parent", (F.col("nth") - 1).alias("nth"), F.col("turn").alias("_to"))
+    leave = kids.join(later, ["ck", "parent", "nth"], "left").select(
+        "ck", "turn", F.lit(True).alias("out"), F.coalesce("_to", "parent").alias("to_turn"), F.col("_to").isNull().alias("to_out"), F.lit(0).cast("long").alias("left"))
+    last = heads.select("ck", F.col("thread_turn").alias("turn")).distinct().select(
+        "ck", "turn", F.lit(True).alias("out"), F.lit(None).cast(turn).alias("to_turn"), F.lit(None).cast("boolean").alias("to_out"), F.lit(0).cast("long").alias("left"))
+    at = staged(enter.unionByName(leave).unionByName(last), "tour")
+    while not at.where("to_turn IS NOT NULL").isEmpty():
+        ahead = at.select("ck", F.col("turn").alias("to_turn"), F.col("out").alias("to_out"), F.col("to_turn").alias("_turn"), F.col("to_out").alias("_out"), F.col("left").alias("_left"))
+        further = at.where("to_turn IS NOT NULL").join(ahead, ["ck", "to_turn", "to_out"]).select(
+            "ck", "turn", "out", F.col("_turn").alias("to_turn"), F.col("_out").alias("to_out"), (F.col("left") + F.col("_left")).alias("left"))
+        at = staged(at.where("to_turn IS NULL").unionByName(further), "tour")
+    return at.where("NOT out").select("ck", "turn", "left")
 
 
 def link(messages: DataFrame) -> DataFrame:
@@ -83,14 +109,15 @@ def link(messages: DataFrame) -> DataFrame:
     known = messages.select("conv_id", "turn", "role", "text").withColumn("ck", F.coalesce(F.col("conv_id").cast("string"), F.lit("")))
     lines = staged(parsed(known), "message-lines")
     answers = staged(parents(lines), "answers")
-    tree = answers.join(paths(answers), ["ck", "turn"])
-    out = known.join(tree, ["ck", "turn"], "left")
-    path = F.coalesce("path", F.array("turn"))
+    tops = staged(threads(answers), "tops")
+    tree = answers.join(tops, ["ck", "turn"])
+    out = known.join(tree, ["ck", "turn"], "left").join(tour(answers, tops), ["ck", "turn"], "left")
     out = staged(out.select(
         "conv_id", "ck", "turn", "role", own_text().alias("body"), F.col("parent").alias("parent_turn"), F.coalesce("votes", F.lit(0)).alias("votes"),
-        F.element_at(path, 1).alias("thread_turn"), (F.size(path) - 1).alias("depth"), path.alias("path"), F.col("turn").isNull().alias("_no_turn")), "linked-messages")
+        F.coalesce("thread_turn", "turn").alias("thread_turn"), F.coalesce("depth", F.lit(0)).cast("int").alias("depth"),
+        F.coalesce(-F.col("left"), F.lit(0)).alias("_order"), F.col("turn").isNull().alias("_no_turn")), "linked-messages")
     # the bodies stay behind while places are found
-    row = ["ck", "_no_turn", "path", "role", "body_hash"]
+    row = ["ck", "_no_turn", "thread_turn", "_order", "role", "body_hash"]
     keyed = out.withColumn("body_hash", F.xxhash64("body"))
     placed = ranked(staged(keyed.select(*row).distinct(), "places"), ["ck"], "place", row[1:])
     placed = placed.select(*[F.col(c).alias(f"p_{c}") for c in row], "place")

@@ -152,6 +152,27 @@ def test_quotation_linking(spark):
     assert quotes.link(df.limit(0)).count() == 0
 
 
+def test_reply_order_has_rows_of_one_width(spark):
+    rng = np.random.default_rng(3)
+    up = {("chain", t): t - 1 for t in range(1, 150)} | {("tree", t): int(rng.integers(t)) for t in range(1, 120) if t % 10}
+    turns = [("chain", t) for t in range(150)] + [("tree", t) for t in range(120)]
+    rows = [(c, t, "user", (f"> {c} {up[c, t]}\n" if (c, t) in up else "") + f"{c} {t}") for c, t in turns]
+    got = {(r["conv_id"], r["turn"]): r for r in quotes.link(spark.createDataFrame(rows, "conv_id string, turn long, role string, text string").repartition(3)).collect()}
+
+    def path(c, t):
+        return (*(path(c, up[c, t]) if (c, t) in up else ()), t)
+
+    for conv in ("chain", "tree"):
+        want = sorted(path(c, t) for c, t in turns if c == conv)
+        for place, p in enumerate(want):
+            r = got[conv, p[-1]]
+            assert (r["place"], r["thread_turn"], r["depth"]) == (place, p[0], len(p) - 1)
+    answers = spark.createDataFrame([("chain", t, t - 1, 1) for t in range(1, 150)], "ck string, turn long, parent long, votes long")
+    tops = quotes.threads(answers)
+    for df in (tops, quotes.tour(answers, tops)):
+        assert not any(t.startswith("array") for _, t in df.dtypes)
+
+
 def test_quotation_query(spark, sf_dir):
     rows = QUERIES["op4_quote_linking"](spark, sf_dir)
     given = spark.read.parquet(f"{sf_dir}/conversations.parquet")
