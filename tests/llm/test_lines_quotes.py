@@ -152,6 +152,19 @@ def test_quotation_linking(spark):
     assert quotes.link(df.limit(0)).count() == 0
 
 
+def test_rewrapped_and_foreign_quotes(spark):
+    first = "We should move the nightly load to the new cluster before Friday, because the old one is full."
+    rows = [(1, 0, "user", first + "\nok"), (1, 1, "assistant", "Something else entirely is said here.\nok"),
+            (1, 2, "user", "> We should move the nightly load\n> to the new cluster before\n> Friday, because\nAgreed."),
+            (1, 3, "assistant", "> the nightly load to the new clus\nWhich one?"), (1, 4, "user", ">>> print(2 + 2) in the shell\n> nobody here ever said this\nLook."),
+            (1, 5, "user", "> > the nightly load\n> Which one?\nThat.")]
+    got = {r["turn"]: r for r in quotes.link(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)).collect()}
+    assert {t: r["parent_turn"] for t, r in got.items()} == {0: None, 1: None, 2: 0, 3: 0, 4: None, 5: 3}
+    assert {t: r["said"] for t, r in got.items() if t > 1} == {
+        2: "Agreed.", 3: "> the nightly load to the new clus\nWhich one?", 4: ">>> print(2 + 2) in the shell\n> nobody here ever said this\nLook.", 5: "> > the nightly load\nThat."}
+    assert got[4]["body"] == "Look."
+
+
 def test_reply_order_has_rows_of_one_width(spark):
     rng = np.random.default_rng(3)
     up = {("chain", t): t - 1 for t in range(1, 150)} | {("tree", t): int(rng.integers(t)) for t in range(1, 120) if t % 10}
