@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart.llm import langid, lines, mixing, packing, quotes, rules, sharding, simhash, trees, winnow
+from riskmart.session import staged
+
+#: Messages in a chat text.
+CHUNK = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,7 +37,11 @@ def op3_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quotes.link(table(spark, sf_dir, "conversations"))
+    """The linked messages, each with the number and the checksum of the chat text it is in."""
+    linked = staged(quotes.link(table(spark, sf_dir, "conversations")), "linked")
+    chats = quotes.rendered(linked, CHUNK).select(F.col("conv_id").alias("_conv"), "chunk", F.sha2("text", 256).alias("chat_sha256"))
+    at = linked.withColumn("_chunk", F.floor(F.col("place") / CHUNK))
+    return at.join(chats, at["conv_id"].eqNullSafe(chats["_conv"]) & (at["_chunk"] == chats["chunk"])).drop("_conv", "_chunk")
 
 
 def op5_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

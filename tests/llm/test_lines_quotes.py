@@ -1,5 +1,6 @@
 """Fuzzy line dedup and quotation linking against brute force."""
 
+import hashlib
 import re
 from collections import Counter, defaultdict
 
@@ -192,3 +193,13 @@ def test_quotation_query(spark, sf_dir):
     assert rows.count() == given.count()
     per = rows.groupBy("conv_id").agg(F.count("*").alias("n"), F.countDistinct("place").alias("d"), (F.max("place") + 1).alias("m"))
     assert per.where("n <> d OR n <> m").count() == 0
+
+
+def test_quotation_query_makes_chat_texts(spark, sf_dir):
+    rows = [r.asDict() for r in QUERIES["op4_quote_linking"](spark, sf_dir).collect()]
+    chats = defaultdict(list)
+    for r in rows:
+        chats[r["conv_id"], r["chunk"]].append((r["place"], f"<|{r['role'] or 'unknown'}|>\n{r['said']}", r["chat_sha256"]))
+    for lines_of in chats.values():
+        text = "\n".join(x[1] for x in sorted(lines_of))
+        assert {x[2] for x in lines_of} == {hashlib.sha256(text.encode()).hexdigest()}
