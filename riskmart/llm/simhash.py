@@ -28,6 +28,8 @@ from riskmart.session import staged
 
 GENERATOR = 0b110001110101  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
 ROW_CHUNK = 1 << 15
+#: What ``keep_one`` takes for near: words of a shingle, Jaccard similarity of the shingles; and the bands and rows of its min-hashes.
+SHINGLE, SIMILAR, BANDS, ROWS = 5, 0.8, 20, 4
 
 
 def remainder(word: int) -> int:
@@ -153,12 +155,76 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     return marked.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def shingles_of(text: str | None, width: int = SHINGLE) -> tuple[int, np.ndarray]:
+    """The hash of the words of a text, and the sorted distinct XXH64 values of its shingles; a shorter text is one shingle, a blank one has none."""
+    import xxhash
+
+    words, digest = (text or "").encode("utf-8", "surrogatepass").translate(ASCII_LOWER).split(), xxhash.xxh64_intdigest
+    found = {digest(b" ".join(words[i: i + width]), 42) for i in range(max(1, len(words) - width + 1))} if words else set()
+    whole = int(np.array(digest(b" ".join(words), 42), "<u8").view("<i8"))
+    return whole, np.sort(np.fromiter(found, np.uint64, len(found)))
+
+
+def band_keys(shingles: np.ndarray) -> list[int]:
+    """One key for each band: ``ROWS`` least values of the shingles under multiplicative hashes of their own."""
+    import xxhash
+
+    if not len(shingles):
+        return []
+    rng = np.random.default_rng(5)
+    turn = rng.integers(0, 1 << 63, (2, BANDS * ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(shingles), ROW_CHUNK // 8):
+        h = shingles[i: i + ROW_CHUNK // 8, None] * turn[0]
+        h = (h ^ (h >> np.uint64(31))) * turn[1]
+        least = np.minimum(least, (h ^ (h >> np.uint64(29))).min(0))
+    bands = least.astype("<u8").reshape(BANDS, ROWS)
+    return np.array([xxhash.xxh64_intdigest(b.tobytes(), k) for k, b in enumerate(bands)], "<u8").view("<i8").tolist()
+
+
+def sketch(text: Column) -> Column:
+    @F.pandas_udf("node long, size int, keys array<long>")
+    def of(texts: pd.Series) -> pd.DataFrame:
+        both = [shingles_of(t) for t in texts]
+        return pd.DataFrame({"node": [n for n, _ in both], "size": [len(x) for _, x in both], "keys": [band_keys(x) for _, x in both]})
+
+    return of(text)
+
+
+def shingle_set(text: Column) -> Column:
+    @F.pandas_udf("array<long>")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([shingles_of(t)[1].view(np.int64) for t in texts])
+
+    return of(text)
+
+
 def keep_one(documents: DataFrame) -> DataFrame:
-    """``documents`` with one row of every group of near-duplicates: that of the smallest doc_id (NULL last), once."""
+    """``documents`` with one row of every group of near-duplicates: that of the smallest doc_id (NULL last), once.
+
+    Two texts link if their sets of five-word shingles have a Jaccard similarity of ``SIMILAR`` or more; it is computed on the whole sets. Candidates
+    share one of ``BANDS`` keys of ``ROWS`` min-hashes each, which a pair of similarity 0.8 misses with probability 3e-5 (by calculation).
+    """
     keyed = with_key(documents, "doc_id", "text")
-    marked = staged(keyed.select("doc_id", "__k1", "__k2", fingerprint(F.col("text")).alias("fp")), "marked")
+    marked = staged(keyed.select("doc_id", "__k1", "__k2", sketch(F.col("text")).alias("_s")).select("doc_id", "__k1", "__k2", "_s.*"), "marked")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__k1", "__k2")).alias("_b")
-    firsts = marked.groupBy("fp").agg(best).join(groups(marked), "fp").groupBy("root").agg(F.min("_b").alias("_b"))
+    nodes = staged(marked.groupBy("node").agg(best, F.min("size").alias("size")), "texts")
+
+    def close(pairs: DataFrame) -> DataFrame:
+        pairs = staged(pairs, "text-pairs")
+        if pairs.isEmpty():
+            return pairs
+        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        at = nodes.join(wanted, "node").select("node", "_b.__k1", "_b.__k2")
+        sets = keyed.select("__k1", "__k2", "text").join(at, ["__k1", "__k2"]).dropDuplicates(["node"])
+        sets = staged(sets.select("node", shingle_set(F.col("text")).alias("_set")), "text-sets")
+        left, right = (sets.select(F.col("node").alias(c), F.col("_set").alias(f"_set{c}")) for c in "ab")
+        both = pairs.join(left, "a").join(right, "b").withColumn("_both", F.size(F.array_intersect("_seta", "_setb")))
+        return both.where(F.col("_both") >= SIMILAR * (F.size("_seta") + F.size("_setb") - F.col("_both")) - 1e-9).drop("_seta", "_setb", "_both")
+
+    keys = marked.select(F.explode("keys").alias("key"), "node").distinct()
+    group = linked(keys, nodes.select("node", F.lit(0).cast("long").alias("fp"), "size"), 0, SIMILAR, close)
+    firsts = nodes.join(group, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("_b").alias("_b"))
     firsts = staged(firsts.select("_b.__k1", "_b.__k2"), "firsts")
     # equal rows share a key; the join has dealt them out by it already
     return keyed.join(firsts, ["__k1", "__k2"]).dropDuplicates(["__k1", "__k2"]).select(*documents.columns)

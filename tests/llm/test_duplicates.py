@@ -94,6 +94,28 @@ def test_links_between_dense_and_sparse_groups(spark):
     assert len(set(zip(want, (got[int(x)] for x in signed)))) == len(set(want)) == len(set(got.values()))
 
 
+def test_keep_one_finds_planted_copies(spark):
+    rng = np.random.default_rng(8)
+
+    def shingles(w):
+        return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))}
+
+    rows, want, missed_by_bits = [], set(), 0
+    for i in range(60):
+        n = int(rng.integers(100, 400))
+        words = [f"w{x}" for x in rng.integers(0, 5000, n)]
+        copy = list(words)
+        for at in rng.choice(n, max(1, int(n * (0.01, 0.02, 0.05)[i % 3])), replace=False):
+            copy[at] = "new"
+        a, b = shingles(words), shingles(copy)
+        near_copy = len(a & b) / len(a | b) >= 0.8
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(copy).upper())]
+        want |= {2 * i} if near_copy else {2 * i, 2 * i + 1}
+        missed_by_bits += near_copy and bin(slow_fingerprint(rows[-2][1]) ^ slow_fingerprint(rows[-1][1])).count("1") > 3
+    got = {r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == want and missed_by_bits > 10 and len(want) > 70
+
+
 def test_components_of_paths_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, i) for i in range(101, 160)] + [(5, 5), (200, 201), (201, 202), (202, 200), (201, 200)]
     got = {r["node"]: r["root"] for r in near.components(spark.createDataFrame(edges, "a long, b long")).collect()}
