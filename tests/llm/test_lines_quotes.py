@@ -82,6 +82,36 @@ def test_fuzzy_lines(spark, documents, texts, limit, monkeypatch):
     assert left < 5 and sum("..." in (r["text"] or "") for r in rows) == 1
 
 
+def test_lines_of_a_repeated_word(spark):
+    row = " ".join(["no"] * 7)
+    df = spark.createDataFrame([(1, f"{row} no"), (2, f"{row} yes"), (3, f"keep\n{row} not!"), (4, "yes no")], "doc_id long, text string")
+    assert {r["doc_id"]: r["text"] for r in lines.dedup_lines(df).collect()} == {1: f"{row} no", 2: "", 3: "keep", 4: "yes no"}
+
+
+def test_links_of_either_fingerprint(spark, texts):
+    docs = [(int(d), t) for d, t in zip(texts["doc_id"][:60], texts["text"][:60])]
+    spots = [((d, i), " ".join(w)) for d, t in docs for i, x in enumerate(t.split("\n")) if (w := norm(x))]
+    known = sorted({t for _, t in spots})
+    sums = []
+    for t in known:
+        h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in t.split()]
+        sums.append((simhash(t.split()), sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))))
+    root = list(range(len(known)))
+    for i, a in enumerate(known):
+        for j in range(i):
+            b = known[j]
+            near = any(bin(x ^ y).count("1") <= 3 for x, y in zip(sums[i], sums[j]))
+            if near and edits(a, b) <= int(max(len(a), len(b)) * 0.2 + 1e-9):
+                old, new = root[i], root[j]
+                root = [new if r == old else r for r in root]
+    at, seen, gone = dict(zip(known, root)), set(), Counter()
+    for (d, _), t in sorted(spots):
+        gone[d] += at[t] in seen
+        seen.add(at[t])
+    got = lines.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
+    assert {r["doc_id"]: r["n_removed"] for r in got} == {d: gone[d] for d, _ in docs}
+
+
 def test_fuzzy_lines_query(spark, sf_dir, texts, odd, no_rows):
     rows = QUERIES["op6_fuzzy_lines"](spark, sf_dir).collect()
     assert len(rows) == len(texts) and sum(r["n_removed"] for r in rows) > 0
