@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import langid, lines, mixing, packing, quotes, repairs, rules, sharding, simhash, trees, winnow
+from riskmart.llm import langid, lines, mixing, packing, quotes, repairs, rules, sharding, simhash, trees, vectors, winnow
 from riskmart.session import staged
 
 #: Messages in a chat text.
@@ -70,6 +70,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.detect(table(spark, sf_dir, "documents"))
 
 
+def op11_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repairs.repair(table(spark, sf_dir, "conversations"))
 
@@ -77,7 +81,7 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_packing, op2_quality_classifier, op3_simhash_golay, op4_quote_linking, op5_context_mixing, op6_fuzzy_lines, op7_quality_rules,
-        op8_decontamination, op9_sharding, op10_language_id, op13_conversation_repair)}
+        op8_decontamination, op9_sharding, op10_language_id, op11_exact_topk, op13_conversation_repair)}
 WORDS = r"LIST_FILTER(REGEXP_SPLIT_TO_ARRAY(TRANSLATE(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 #: Every window of every text, joined as it stands. Models, tokenizers, XXH64 and connected groups have no SQL form.
 ORACLE: dict[str, str] = {"op8_decontamination": f"""
@@ -93,6 +97,14 @@ WITH d AS (SELECT ROW_NUMBER() OVER () AS r, doc_id, {WORDS} AS w FROM documents
 SELECT doc_id, CAST(LEN(w) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items, COALESCE(items_sha256, SHA256('')) AS items_sha256,
  COALESCE(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN c USING (r) LEFT JOIN s USING (r)"""}
 
+ORACLE["op11_exact_topk"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: FLOOR(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND LEN(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ q AS (SELECT vec_id AS query_id, MIN(e) AS e FROM v WHERE vec_id % 50 = 0 GROUP BY vec_id),
+ s AS (SELECT query_id, vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score FROM q JOIN v ON query_id <> vec_id),
+ r AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
 #: CRC-32 of digits, bit by bit.
 CRC = """(xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(k, ''), lambda ch: list_transform(range(8), lambda b: (ascii(ch) >> b) & 1)))),
  lambda c, bit: xor(c >> 1, 3988292384 * (xor(c, bit) & 1))), 4294967295))"""
