@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import langid, lines, mixing, packing, quotes, repairs, rules, sharding, simhash, trees, vectors, winnow
+from riskmart.llm import dualtree, langid, lines, mixing, packing, quotes, repairs, rules, sharding, simhash, trees, vectors, winnow
 from riskmart.session import staged
 
 #: Messages in a chat text.
@@ -74,6 +74,10 @@ def op11_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op12_dual_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dualtree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repairs.repair(table(spark, sf_dir, "conversations"))
 
@@ -81,7 +85,7 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_packing, op2_quality_classifier, op3_simhash_golay, op4_quote_linking, op5_context_mixing, op6_fuzzy_lines, op7_quality_rules,
-        op8_decontamination, op9_sharding, op10_language_id, op11_exact_topk, op13_conversation_repair)}
+        op8_decontamination, op9_sharding, op10_language_id, op11_exact_topk, op12_dual_tree_search, op13_conversation_repair)}
 WORDS = r"LIST_FILTER(REGEXP_SPLIT_TO_ARRAY(TRANSLATE(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 #: Every window of every text, joined as it stands. Models, tokenizers, XXH64 and connected groups have no SQL form.
 ORACLE: dict[str, str] = {"op8_decontamination": f"""
@@ -105,6 +109,19 @@ WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: FLOOR(256 * CAST(x
  r AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
 
+TERMS = r"LIST_FILTER(REGEXP_SPLIT_TO_ARRAY(TRANSLATE(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+ORACLE["op12_dual_tree_search"] = f"""
+WITH d AS (SELECT ROW_NUMBER() OVER () AS r, doc_id, {TERMS} AS w FROM documents),
+ s AS (SELECT COUNT(*) AS N, SUM(LEN(w)) AS L FROM d WHERE LEN(w) > 0),
+ b AS (SELECT item_id, {TERMS} AS w FROM (SELECT item_id, MIN(COALESCE(text, '')) AS text FROM benchmark WHERE item_id IS NOT NULL GROUP BY item_id)),
+ q AS (SELECT item_id, term, COUNT(*) AS times FROM (SELECT item_id, UNNEST(w) AS term FROM b) GROUP BY item_id, term),
+ t AS (SELECT r, term, COUNT(*) AS tf FROM (SELECT r, UNNEST(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY r, term),
+ g AS (SELECT term, CAST(FLOOR(1000 * LN(CAST(2 * N + 2 AS DOUBLE) / (2 * COUNT(*) + 1))) AS BIGINT) AS weight FROM t, s GROUP BY term, N),
+ i AS (SELECT r, term, (1000000000 * tf) // (1000 * tf + 12 * (75 + CAST((25 * LEN(w) * N) // L AS BIGINT))) AS impact FROM t JOIN d USING (r), s),
+ c AS (SELECT item_id, r, CAST(SUM(times * weight * impact) AS BIGINT) AS score FROM q JOIN g USING (term) JOIN i USING (term) GROUP BY item_id, r),
+ o AS (SELECT item_id, doc_id, score, CAST(ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM c JOIN d USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 20"""
+
 #: CRC-32 of digits, bit by bit.
 CRC = """(xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(k, ''), lambda ch: list_transform(range(8), lambda b: (ascii(ch) >> b) & 1)))),
  lambda c, bit: xor(c >> 1, 3988292384 * (xor(c, bit) & 1))), 4294967295))"""

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from riskmart.llm.topk import kth_scores, merged
 from riskmart.session import stage_path, staged
 
 SCALE, LEVELS = 256.0, (1, 4, 16)
@@ -85,17 +86,8 @@ def exact(q: np.ndarray, v: np.ndarray, safe: bool) -> np.ndarray:
     return np.array([min(max(s, LONG.min), LONG.max) for s in sums], dtype=np.int64)
 
 
-def _kth(query: np.ndarray, score: np.ndarray, least: np.ndarray, k: int) -> np.ndarray:
-    """``least`` raised to the k-th score of each query that has k (rows sorted by query, best first)."""
-    first = np.flatnonzero(np.r_[True, query[1:] != query[:-1]]) if len(query) else np.zeros(0, int)
-    full = first[np.diff(np.r_[first, len(query)]) >= k]
-    out = least.copy()
-    out[query[full]] = np.maximum(out[query[full]], score[full + k - 1].astype(float))
-    return out
-
-
 def best_of(queries: Described, ids: np.ndarray, least: np.ndarray, k: int, chunks: Iterable[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, vec_id, score) of the k best candidates of each query that score at least ``least``; chunks are (vec_ids, vectors)."""
+    """(query row, score, vec_id) of the k best candidates of each query that score at least ``least``; chunks are (vec_ids, vectors)."""
     have = tuple(np.zeros(0, np.int64) for _ in range(3))
     for vec_id, rows in chunks:
         with np.errstate(all="ignore"):  # vast components give infinite bounds, which prune nothing
@@ -121,13 +113,8 @@ def best_of(queries: Described, ids: np.ndarray, least: np.ndarray, k: int, chun
             i, j = np.nonzero(alive) if pairs is None else pairs
             score = exact(queries.rows[i], rows[j], safe)
         reach = score >= least[i]
-        query, vec, score = (np.concatenate([h, x[reach]]) for h, x in zip(have, (i, vec_id[j], score)))
-        order = np.lexsort((vec, ~score, query))  # ~score falls as the score rises, without overflow
-        query, vec, score = query[order], vec[order], score[order]
-        first = np.searchsorted(query, query)
-        keep = np.arange(len(query)) - first < k
-        have = query[keep], vec[keep], score[keep]
-        least = _kth(have[0], have[2], least, k)
+        have = merged(have, (i[reach], score[reach], vec_id[j][reach]), k)
+        least = kth_scores(have[0], have[1], least, k)
     return have
 
 
@@ -145,7 +132,7 @@ def _found(candidates: DataFrame, pack: dict, k: int) -> DataFrame:
                     part = batch.slice(i, CHUNK)
                     yield part.column("vec_id").to_numpy(), matrix(part.column("v"), own["rows"].shape[1])
 
-        query, vec, score = best_of(queries, own["ids"], own["least"], k, chunks())
+        query, score, vec = best_of(queries, own["ids"], own["least"], k, chunks())
         yield pa.RecordBatch.from_arrays([pa.array(own["ids"][query]), pa.array(vec), pa.array(score)], ["query_id", "vec_id", "score"])
 
     return candidates.select("vec_id", "v").mapInArrow(run, FOUND)
