@@ -274,7 +274,8 @@ def repaired(rows: DataFrame, found: DataFrame) -> DataFrame:
     """(_conv, _place, part): the repaired turns in order, as ``role:text`` lines; deleted rows without inserts beside them have none."""
     verbs = _step(found.select("_conv", "audit"), "_conv string, _place long, verb string, new_role string, head string, tail string", _spread, 1)
     own = F.when(F.col("verb") != "D", F.concat(F.when(F.col("verb") == "K", F.col("_role")).otherwise(F.col("new_role")), F.lit(":"), F.col("_text")))
-    parts = rows.select("_conv", "_place", "_role", "_text").join(verbs, ["_conv", "_place"])
+    # a row of verbs is wider than the audit letter its size is guessed from: never broadcast
+    parts = rows.select("_conv", "_place", "_role", "_text").join(verbs.hint("merge"), ["_conv", "_place"])
     parts = parts.select("_conv", "_place", "head", own.alias("own"), "tail").where("head is not null or own is not null or tail is not null")
     return parts.select("_conv", "_place", F.concat_ws("\n", "head", "own", "tail").alias("part"))
 
