@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,10 +66,21 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_staged(spark: SparkSession) -> int:
-    """Delete what this process staged, once the results that read it are written. Returns the number of paths dropped."""
+def staged_mark() -> int:
+    """The place in the list of staged paths; what is staged from here on can be dropped with ``drop_staged(spark, mark)``."""
+    return len(_STAGED)
+
+
+def drop_staged(spark: SparkSession, since: int = 0, keep: Sequence[DataFrame] = ()) -> int:
+    """Delete what this process staged (after the mark ``since``), once the results that read it are written. Returns the number of paths dropped.
+
+    Paths that the tables in ``keep`` still read stay, and stay on the list.
+    """
+    read = [f for df in keep for f in df.inputFiles()]
+    held = [p for p in _STAGED[since:] if any(f"/{p.rsplit('/', 1)[-1]}/" in f for f in read)]
     dropped = 0
-    while _STAGED:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+    for name in [p for p in _STAGED[since:] if p not in held]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
         dropped += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _STAGED[since:] = held
     return dropped
