@@ -23,13 +23,15 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
-def with_key(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Adds ``__k1, __k2``: a 128-bit key of (id, text). Rows equal in both are one document."""
+def key_columns(doc_id: str, text: str) -> tuple[Column, Column]:
+    """A 128-bit key of (id, text). Rows equal in both are one document."""
     t = F.coalesce(F.col(text), F.lit(""))
-    return df.withColumns({
-        "__k1": F.xxhash64(F.col(doc_id).cast("string"), F.lit("|"), F.col(text)),
-        "__k2": F.crc32(t) * F.lit(1 << 31) + F.octet_length(t),
-    })
+    return F.xxhash64(F.col(doc_id).cast("string"), F.lit("|"), F.col(text)), F.crc32(t) * F.lit(1 << 31) + F.octet_length(t)
+
+
+def with_key(df: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Adds ``__k1, __k2``, the columns of :func:`key_columns`."""
+    return df.withColumns(dict(zip(("__k1", "__k2"), key_columns(doc_id, text))))
 
 
 def ranked(df: DataFrame, group: list[str], name: str, order: list[str], rows_each: int = 200_000) -> DataFrame:

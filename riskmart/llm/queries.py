@@ -51,7 +51,7 @@ def op5_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines, n_removed, and size and checksum of the text that is left."""
     done = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return done.select("doc_id", "n_lines", "n_removed", F.octet_length("text").alias("bytes_left"), F.sha2("text", 256).alias("left_sha256"))
+    return done.select("doc_id", "__lines.*", F.octet_length("text").alias("bytes_left"), F.sha2("text", 256).alias("left_sha256"))
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from riskmart.llm.common import ASCII_LOWER, with_key
 from riskmart.llm.near import linked
-from riskmart.session import staged
+from riskmart.session import drop_staged, staged, staged_mark
 
 GENERATOR = 0b110001110101  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
 ROW_CHUNK = 1 << 15
@@ -205,7 +205,7 @@ def keep_one(documents: DataFrame) -> DataFrame:
     Two texts link if their sets of five-word shingles have a Jaccard similarity of ``SIMILAR`` or more; it is computed on the whole sets. Candidates
     share one of ``BANDS`` keys of ``ROWS`` min-hashes each, which a pair of similarity 0.8 misses with probability 3e-5 (by calculation).
     """
-    keyed = with_key(documents, "doc_id", "text")
+    mark, keyed = staged_mark(), with_key(documents, "doc_id", "text")
     marked = staged(keyed.select("doc_id", "__k1", "__k2", sketch(F.col("text")).alias("_s")).select("doc_id", "__k1", "__k2", "_s.*"), "marked")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__k1", "__k2")).alias("_b")
     nodes = staged(marked.groupBy("node").agg(best, F.min("size").alias("size")), "texts")
@@ -226,5 +226,6 @@ def keep_one(documents: DataFrame) -> DataFrame:
     group = linked(keys, nodes.select("node", F.lit(0).cast("long").alias("fp"), "size"), 0, SIMILAR, close)
     firsts = nodes.join(group, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("_b").alias("_b"))
     firsts = staged(firsts.select("_b.__k1", "_b.__k2"), "firsts")
+    drop_staged(documents.sparkSession, mark, keep=[firsts])
     # equal rows share a key; the join has dealt them out by it already
     return keyed.join(firsts, ["__k1", "__k2"]).dropDuplicates(["__k1", "__k2"]).select(*documents.columns)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.llm.common import UPPER, with_key
-from riskmart.session import staged
+from riskmart.session import drop_staged, staged, staged_mark
 
 #: ASCII other than digits and letters: what separates words.
 SEPARATORS = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
@@ -138,8 +138,10 @@ def occurrences(documents: DataFrame, benchmark: DataFrame, span: int, k: int) -
 
 def clean(documents: DataFrame, benchmark: DataFrame, span: int = 10, k: int = 5) -> DataFrame:
     """``documents`` without those that share a window with an item."""
+    mark = staged_mark()
     _, _, found = occurrences(documents, benchmark, span, k)
-    hit = found.select("__k1", "__k2").distinct()
+    hit = staged(found.select("__k1", "__k2").distinct(), "contaminated")
+    drop_staged(documents.sparkSession, mark, keep=[hit])
     return with_key(documents, "doc_id", "text").join(hit, ["__k1", "__k2"], "left_anti").select(*documents.columns)
 
 
