@@ -59,10 +59,10 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: cuts the lineage, and later reads fetch only their columns."""
     path = stage_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
