@@ -54,15 +54,14 @@ def linked(keys: DataFrame, nodes: DataFrame, most_bits: int, ratio: float = 0.0
     """
     bucket = Window.partitionBy("key")
     shared = staged(keys.select("key", "node", F.count("*").over(bucket).alias("_n")).where("_n > 1").select("key", "node"), "shared")
-    return link_buckets(shared, nodes, most_bits, ratio, verify)
+    facts = staged(nodes.join(shared.select("node").distinct(), "node").select("node", "fp", "size"), "facts")
+    shared = shared.join(facts, "node").select("key", "node", "fp", "size", F.min(F.struct("node", "fp", "size")).over(bucket).alias("hub"))
+    return link_buckets(staged(shared, "buckets"), most_bits, ratio, verify)
 
 
-def link_buckets(shared: DataFrame, nodes: DataFrame, most_bits: int, ratio: float = 0.0, verify: Callable[[DataFrame], DataFrame] = lambda pairs: pairs) -> DataFrame:
-    """The second part of :func:`linked`, from the (key, node) whose keys several nodes have."""
+def link_buckets(shared: DataFrame, most_bits: int, ratio: float = 0.0, verify: Callable[[DataFrame], DataFrame] = lambda pairs: pairs) -> DataFrame:
+    """The second part of :func:`linked`, from a staged table (key, node, fp, size, hub): the nodes that share a key, and the smallest of them."""
     bucket = Window.partitionBy("key")
-    facts = staged(nodes.join(shared.select("node").distinct(), "node").select("node", "fp", "size"), "facts")
-    shared = shared.join(facts, "node").select("key", "node", "fp", "size", F.min(F.struct("node", "fp", "size")).over(bucket).alias("hub"))
-    shared = staged(shared, "buckets")
 
     def near(a: str, b: str) -> Column:
         low, high = F.least(F.col(f"{a}size"), F.col(f"{b}size")), F.greatest(F.col(f"{a}size"), F.col(f"{b}size"))

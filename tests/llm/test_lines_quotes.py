@@ -113,7 +113,7 @@ def test_recall_by_length(spark, texts):
     for i, j in true_links(known):
         n = max(len(known[i]), len(known[j]))
         classes[min(n // 100, 3) * 100].append(not {known[i], known[j]} <= left)
-    assert sum(map(len, classes.values())) > 40
+    assert sum(map(len, classes.values())) > 40, classes
     assert all(sum(found) >= 0.9 * len(found) for found in classes.values() if len(found) > 5) and sum(sum(f) for f in classes.values()) > 40
 
 
