@@ -95,12 +95,13 @@ def cook_dataset(df: DataFrame, dataset: str, schema: T.StructType, mapping: Map
 # --- from staged tables to the mart --------------------------------------------------------------------------------
 
 def stage_to_mart(staged: Mapping[str, DataFrame], as_of, country: str, log: DataFrame | None = None, existing: Mapping[str, DataFrame] | None = None,
-                  exact_date: bool = False, save=settle, fail_on_error: bool = False) -> dict[str, DataFrame]:
+                  exact_date: bool = False, save=settle, fail_on_error: bool = False, loan_store=None) -> dict[str, DataFrame]:
     """One load: gate, dimensions, facts, scores, reconciliation.
 
     ``staged`` holds Loan, Fraud, Market and Macro, ``existing`` the mart tables of earlier loads. Tables used by several
     later steps are saved once. The load stops when the loans or a required fact are empty, and with ``fail_on_error`` when a check of
-    the gate fails. ``etl_log`` has a row per saved table.
+    the gate fails. ``etl_log`` has a row per saved table. With ``loan_store`` (:func:`riskmart.plans.marts.loan_store`) the fact of loans is kept there, and a
+    later load rewrites only the months it delivers.
     """
     old = dict(existing or {})
     loan, fraud, market, macro = (staged[n] for n in gate.REQUIRED)
@@ -125,7 +126,10 @@ def stage_to_mart(staged: Mapping[str, DataFrame], as_of, country: str, log: Dat
     transactions = out["DimTransaction"] = save(marts.load_dim_transaction(fraud, kinds, days, old.get("DimTransaction")))
     accounts = out["DimAccount"] = save(marts.load_dim_account(loan, customers, old.get("DimAccount")))
 
-    out["FactLoan"] = save(marts.fact_loan(loan, customers, types, days, old.get("FactLoan")))
+    if loan_store is not None:
+        out["FactLoan"] = marts.merge_fact_loan(loan_store, loan, customers, types, days)
+    else:
+        out["FactLoan"] = save(marts.fact_loan(loan, customers, types, days, old.get("FactLoan")))
     out["FactCustomer"] = save(marts.fact_customer(loan, customers, days, old.get("FactCustomer")))
     out["FactCredit"] = save(marts.fact_credit(loan, customers, accounts, old.get("FactCredit")))
     if "AccountBalance" in loan.columns:

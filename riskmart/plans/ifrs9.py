@@ -210,11 +210,10 @@ def ecl(params: DataFrame, stages: DataFrame, loans: DataFrame, scenarios: DataF
     day = _day(as_of)
     rows = params.filter(F.col("AsOfDate") == day)
     scenario = F.struct(F.col("ScenarioID").cast("int").alias("ScenarioID"), F.col("ScenarioWeight").cast("double").alias("ScenarioWeight"))
-    if scenario_mode == "param":
-        named = active.select(F.col("ScenarioID").alias("_named"), scenario.alias("_s"))
-        rows = rows.join(named, F.col("MacroeconomicScenarioID") == F.col("_named")).drop("_named")
-    else:  # every row meets every scenario: that is the mode
-        rows = attach_stats(rows, active.agg(F.collect_list(scenario).alias("_all"))).withColumn("_s", F.explode("_all")).drop("_all")
+    # One array of the few scenarios on every row: a join on a scenario that is a literal would fold into a product.
+    rows = attach_stats(rows, active.agg(F.collect_list(scenario).alias("_all")))
+    named = F.filter("_all", lambda s: s["ScenarioID"] == F.col("MacroeconomicScenarioID"))
+    rows = rows.withColumn("_s", F.explode(named if scenario_mode == "param" else F.col("_all"))).drop("_all")
     rows = rows.join(stages.filter(F.col("AsOfDate") == day).select(*KEY, "ECLStage"), KEY)
     balance = F.col("CurrentBalance").cast("double") if "CurrentBalance" in loans.columns else F.lit(GROSS_DEFAULT)
     balances = loans.select(*KEY, balance.alias("_balance"), (F.col("IsActive") if "IsActive" in loans.columns else F.lit(1)).alias("_active"))

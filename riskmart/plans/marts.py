@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart.operators.keys import (
     dense_key, insert_missing, natural_key_hash, next_key, one_per_key, upsert)
+from riskmart.operators.snapshot import KeyedTable
 
 TRACKED = ["Age", "EmploymentStatus", "JobTitle", "HomeOwnershipStatus", "MaritalStatus", "PreviousLoanDefault"]
 LOAN_KEY = ["CustomerSK", "LoanDateID", "LoanTypeID", "LoanAmount"]
@@ -100,6 +101,20 @@ def fact_loan(loans: DataFrame, customers: DataFrame, types: DataFrame, dates: D
     return upsert(existing, staged, LOAN_KEY, LOAN_UPDATES, latest_by=latest)
 
 
+def loan_store(spark: SparkSession, root: str, buckets: int = 4) -> KeyedTable:
+    """The fact of loans by month of the loan date, so that a later load rewrites the months it delivers."""
+    return KeyedTable(spark, root, LOAN_KEY, [F.floor(F.col("LoanDateID") / 100)], buckets)
+
+
+def merge_fact_loan(store: KeyedTable, loans: DataFrame, customers: DataFrame, types: DataFrame, dates: DataFrame, on_duplicate: str = "latest") -> DataFrame:
+    """:func:`fact_loan` into a kept table: the first load creates it, later ones rewrite only the partitions of their loans."""
+    latest = ["LoanID"] if on_duplicate == "latest" else None
+    rows = stage_loans(loans, customers, types, dates)
+    if not store.versions():
+        return store.create(one_per_key(rows, LOAN_KEY, latest))
+    return store.merge(rows, LOAN_UPDATES, latest_by=latest)
+
+
 def fact_customer(loans: DataFrame, customers: DataFrame, dates: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Financial snapshot per customer and day. Aggregated on the raw customer id first, joined to the keys afterwards."""
     cents = "decimal(18,2)"
@@ -205,6 +220,6 @@ def fact_economic(macro: DataFrame, countries: DataFrame, dates: DataFrame, exis
 
 
 __all__ = [
-    "TRACKED", "small_dim", "load_dim_transaction", "load_dim_account", "stage_loans", "fact_loan", "fact_customer",
+    "TRACKED", "small_dim", "load_dim_transaction", "load_dim_account", "stage_loans", "fact_loan", "loan_store", "merge_fact_loan", "fact_customer",
     "fact_credit", "fact_account", "fact_fraud", "fact_market", "fact_economic",
 ]

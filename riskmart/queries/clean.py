@@ -225,7 +225,7 @@ def p7(t):
 
 RAW_CUSTOMER = """SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_acctbal END AS balance, CASE WHEN c_custkey % 7 = 1 THEN NULL ELSE c_acctbal / 10 + c_nationkey END AS related,
  c_nationkey AS nation, CASE WHEN c_custkey % 6 = 0 THEN NULL WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS flag FROM customer"""
-PLACES = "(SELECT CASE WHEN COUNT(*) < 100 THEN LEAST(3, COUNT(*) // 4) WHEN COUNT(*) < 1000 THEN LEAST(5, COUNT(*) // 100) ELSE LEAST(10, CAST(FLOOR(SQRT(COUNT(*)) / 10) AS BIGINT)) END FROM r)"
+PLACES = 3
 
 
 def near_customer(target: str, other: str) -> str:
@@ -242,5 +242,5 @@ def p6(t):
     raw = t.customer.select(
         n, F.when(n % 5 != 0, F.col("c_acctbal")).when(n % 10 == 0, F.lit(float("inf"))).alias("balance"), F.when(n % 7 != 1, F.col("c_acctbal") / 10 + F.col("c_nationkey")).alias("related"),
         F.col("c_nationkey").alias("nation"), F.when(n % 6 != 0, (F.col("c_mktsegment") == "BUILDING").cast("int")).alias("flag"))
-    out = K.impute_numeric(raw, ["c_custkey"], K.neighbours(raw.count()), seed=7)
+    out = K.impute_numeric(raw, ["c_custkey"], PLACES, seed=7)
     return out.withColumns({"balance": F.round("balance", 4), "related": F.round("related", 4)})

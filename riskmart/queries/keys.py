@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from riskmart.adapters import AS_OF
 from riskmart.operators import keys as K
 from riskmart.operators import scd
+from riskmart.operators.snapshot import KeyedTable
 from riskmart.plans import marts
 from riskmart.queries.load import DATE_DIM
 from riskmart.queries.registry import Inputs, ctes, query
+from riskmart.session import stage_path
 from riskmart.sources.date_dim import build_date_dim
 
 FIRST_LOAD = "2023-06-30"
@@ -98,6 +100,22 @@ def k3(t):
     return K.upsert(old, new, ["o_orderkey"], ["o_orderstatus", "o_totalprice"])
 
 
+@query("k3_snapshot_merge", ctes("""
+SELECT COALESCE(t.o_orderkey, s.o_orderkey) AS o_orderkey, COALESCE(t.o_orderdate, s.o_orderdate) AS o_orderdate, COALESCE(s.o_orderstatus, t.o_orderstatus) AS o_orderstatus,
+ COALESCE(s.o_totalprice, t.o_totalprice) AS o_totalprice, COALESCE(t.o_orderpriority, s.o_orderpriority) AS o_orderpriority
+FROM t FULL JOIN s ON t.o_orderkey = s.o_orderkey AND t.o_orderdate = s.o_orderdate""",
+    t=OLD_ORDERS.replace("o_orderkey,", "o_orderkey, o_orderdate,"), s=NEW_ORDERS.replace("o_orderkey,", "o_orderkey, o_orderdate,")))
+def k3_snapshot(t):
+    """Orders kept by month; a batch of the later months is merged into a second version."""
+    o = t.orders
+    cols = ["o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+    store = KeyedTable(t.spark, stage_path(t.spark, "orders"), ["o_orderkey", "o_orderdate"], [F.date_format("o_orderdate", "yyyyMM")], 2)
+    store.create(o.filter(F.col("o_orderdate") < "2000-01-01").select(*cols))
+    return store.merge(o.filter(F.col("o_orderdate") >= "1998-01-01").select(
+        "o_orderkey", "o_orderdate", F.lit("X").alias("o_orderstatus"), (F.col("o_totalprice") * 2).alias("o_totalprice"), F.lit("changed").alias("o_orderpriority")),
+        ["o_orderstatus", "o_totalprice"])
+
+
 @query("k4_insert_missing", """
 WITH have AS (SELECT ROW_NUMBER() OVER (ORDER BY p_brand) AS BrandID, p_brand FROM (SELECT DISTINCT p_brand FROM part WHERE p_size < 3)),
  seen AS (SELECT MIN(b) AS p_brand FROM (SELECT ' ' || LOWER(p_brand) || ' ' AS b FROM part) GROUP BY UPPER(TRIM(b)))

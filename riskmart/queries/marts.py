@@ -8,7 +8,8 @@ from riskmart.plans import marts
 from riskmart.queries.keys import (
     DIM_ACCOUNT, DIM_CUSTOMER, DIM_TXN, TXN_TYPES, dates, dim_customer, dim_transaction)
 from riskmart.queries.load import DATE_DIM
-from riskmart.queries.registry import Inputs, ctes, query
+from riskmart.queries.registry import ORACLE, Inputs, ctes, query
+from riskmart.session import stage_path
 
 LOAN_TYPES = "SELECT ROW_NUMBER() OVER (ORDER BY LoanType) AS LoanTypeID, LoanType FROM (SELECT DISTINCT TRIM(LoanType) AS LoanType FROM stg_loan)"
 FACT_LOAN = """
@@ -58,6 +59,17 @@ def f1_update(t):
     return as_double(marts.fact_loan(later, cust, types, days, existing=old), *LOAN_OUT)
 
 
+@query("e3_two_loads", ORACLE["f1_fact_loan_update"])
+def e3_two_loads(t):
+    """The two deliveries of ``f1_fact_loan_update`` into a kept table, whose second load rewrites its own months only."""
+    stg, cust, types, days = t.stg_loan, dim_customer(t), loan_types(t), dates(t)
+    store = marts.loan_store(t.spark, stage_path(t.spark, "fact-loan"))
+    marts.merge_fact_loan(store, stg.filter("LoanDate < DATE '2021-01-01'"), cust, types, days)
+    later = stg.filter("LoanDate >= DATE '2020-01-01'").withColumns({
+        "Balance": F.lit(0).cast("decimal(18,2)"), "PaymentStatus": F.lit("On Time")})
+    return as_double(marts.merge_fact_loan(store, later, cust, types, days), *LOAN_OUT)
+
+
 FACT_CUSTOMER = """
 SELECT c.CustomerSK, d.DateID AS DateSK, CAST(MAX(AnnualIncome) AS DOUBLE) AS AnnualIncome, CAST(SUM(TotalAssets) AS DOUBLE) AS TotalAssets,
  CAST(SUM(TotalLiabilities) AS DOUBLE) AS TotalLiabilities, CAST(SUM(AnnualExpenses) AS DOUBLE) AS AnnualExpenses,

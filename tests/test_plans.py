@@ -16,7 +16,7 @@ def keyless(text: str) -> list[str]:
     return [x.strip() for x in text.splitlines() if "NestedLoopJoin" in x and " Inner" not in x and " Cross" not in x]
 
 
-@pytest.mark.parametrize("key", ["s7_risk_profile", "i9_ecl", "v10_validate_staging", "w12_ifrs9_vs_ias39", "r4_fix_loan", "m6_aggregate_customer_snapshot", "v13_fraud_rate_drift"])
+@pytest.mark.parametrize("key", ["s7_risk_profile", "i9_ecl", "w7_ecl_staging_summary", "w14_ecl_summary", "v10_validate_staging", "w12_ifrs9_vs_ias39", "r4_fix_loan", "m6_aggregate_customer_snapshot", "v13_fraud_rate_drift"])
 def test_no_cartesian_products(key, spark, sf_dir):
     text = plan(QUERIES[key](spark, sf_dir))
     assert "CartesianProduct" not in text
