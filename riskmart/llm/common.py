@@ -23,6 +23,11 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
+def below_share(share: float) -> int:
+    """The signed 64-bit number that a hash falls below with this probability, however small; 1 and more means every hash but the last."""
+    return min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63)) if share < 1 else (1 << 63) - 1
+
+
 def key_columns(doc_id: str, text: str) -> tuple[Column, Column]:
     """A 128-bit key of (id, text). Rows equal in both are one document."""
     t = F.coalesce(F.col(text), F.lit(""))

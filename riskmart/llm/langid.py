@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import fold
+from riskmart.llm.common import below_share, fold
 
 OTHER = re.compile(r"[\W\d_]+")
 #: Characters handled at once; longer texts go through in chunks that overlap by two, so that no n-gram is lost.
@@ -54,8 +54,8 @@ def fit(documents: DataFrame, where: Column, per_language: int = 2_000, bits: in
     languages = sorted(sizes)
     if not languages:
         return [], np.zeros((0, 1 << bits), np.float32), np.zeros(0)
-    share = F.create_map(*[F.lit(v) for k in languages for v in (k, int(min(1.0, per_language / sizes[k]) * (1 << 20)))])
-    known = known.where(F.pmod(F.xxhash64("doc_id", "text", F.lit(29)), F.lit(1 << 20)) < share[F.col("lang")])
+    share = F.create_map(*[F.lit(v) for k in languages for v in (k, below_share(per_language / sizes[k]))])
+    known = known.where(F.xxhash64("doc_id", "text", F.lit(29)) <= share[F.col("lang")])
 
     def count(batches):
         sums: dict[str, np.ndarray] = {}

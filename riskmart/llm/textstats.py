@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from riskmart.llm.common import below_share
+
 SPACES = " \t\n\r\x0b\x0c"
 SYMBOLS = b"#*$%&|<>"
 STOPS = re.compile(r"[.!?]")
@@ -98,7 +100,8 @@ def labelled_sample(documents, labels, label: str, most: int, where: Column | No
     """At most ``most`` labelled documents (doc_id, text, label) in expectation, chosen by a hash of the id alone.
 
     ``most`` is a documented bound of what is learned from, never of what is scored. A document with several labels takes their
-    majority, ties count as 1; NULL labels and NULL ids teach nothing; repeated document rows teach once each.
+    majority, ties count as 1; NULL labels and NULL ids teach nothing; an id with several rows teaches once, with the text of the least hash, so that
+    no more rows than ids come out.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(modulus_key).isNotNull())
     if where is not None:
@@ -106,5 +109,6 @@ def labelled_sample(documents, labels, label: str, most: int, where: Column | No
     known = known.groupBy(modulus_key).agg((F.avg(F.col(label).cast("double")) >= 0.5).cast("int").alias("_label"))
     total = known.count()
     share = min(1.0, most / max(total, 1))
-    known = known.where(F.pmod(F.xxhash64(F.col(modulus_key), F.lit(17)), F.lit(1 << 20)) < int(share * (1 << 20)))
-    return documents.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "text", "_label")
+    known = known.where(F.xxhash64(F.col(modulus_key), F.lit(17)) <= below_share(share))
+    taught = documents.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    return taught.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("_t"), F.min("_label").alias("_label")).select("doc_id", "_t.text", "_label")
