@@ -54,3 +54,13 @@ def test_bit_tokens_and_dates(spark):
 def test_week_one_holds_the_first_of_january(spark):
     weeks = {str(r["FullDate"]): r["WeekOfYear"] for r in date_dim.build_date_dim(spark, "2022-12-30", "2023-01-09").collect()}
     assert (weeks["2022-12-31"], weeks["2023-01-01"], weeks["2023-01-07"], weeks["2023-01-08"]) == (53, 1, 1, 2)
+
+
+def test_typed_csv_is_parsed_once(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text("id,amount\n1,2.5\nx,1\n3,4\n")
+    good, rejects = files.load_typed_csv(spark, str(path), T.StructType.fromDDL("id int, amount double"), max_errors=1)
+    for df in (good, rejects):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "csv" not in text.lower().replace("typed-csv", "") and "FileScan parquet" in text
+    assert [r["id"] for r in good.orderBy("id").collect()] == [1, 3] and rejects.count() == 1
