@@ -14,6 +14,7 @@ from riskmart.operators.knn import impute_numeric
 from riskmart.plans import gate, marts, measures, scoring
 from riskmart.plans.runlog import step_log
 from riskmart.session import settle
+from riskmart.sources.colocated import save_colocated
 from riskmart.sources.date_dim import build_date_dim
 from riskmart.sources.files import add_lineage
 
@@ -95,13 +96,15 @@ def cook_dataset(df: DataFrame, dataset: str, schema: T.StructType, mapping: Map
 # --- from staged tables to the mart --------------------------------------------------------------------------------
 
 def stage_to_mart(staged: Mapping[str, DataFrame], as_of, country: str, log: DataFrame | None = None, existing: Mapping[str, DataFrame] | None = None,
-                  exact_date: bool = False, save=settle, fail_on_error: bool = False, loan_store=None) -> dict[str, DataFrame]:
+                  exact_date: bool = False, save=settle, fail_on_error: bool = False, loan_store=None,
+                  customer_buckets: int | None = None) -> dict[str, DataFrame]:
     """One load: gate, dimensions, facts, scores, reconciliation.
 
     ``staged`` holds Loan, Fraud, Market and Macro, ``existing`` the mart tables of earlier loads. Tables used by several
     later steps are saved once. The load stops when the loans or a required fact are empty, and with ``fail_on_error`` when a check of
     the gate fails. ``etl_log`` has a row per saved table. With ``loan_store`` (:func:`riskmart.plans.marts.loan_store`) the fact of loans is kept there, and a
-    later load rewrites only the months it delivers.
+    later load rewrites only the months it delivers. With ``customer_buckets`` the facts that the scores read are saved in that many buckets of the customer
+    and scored without shuffling them (:mod:`riskmart.sources.colocated`).
     """
     old = dict(existing or {})
     loan, fraud, market, macro = (staged[n] for n in gate.REQUIRED)
@@ -146,8 +149,14 @@ def stage_to_mart(staged: Mapping[str, DataFrame], as_of, country: str, log: Dat
     prices = measures.market_measures(out["FactMarket"].join(dated, "DateID").withColumnRenamed("FullDate", "MarketDate"))
     economy = (out["FactEconomicIndicators"].join(dated, F.col("ReportDateID") == F.col("DateID")).withColumnRenamed("FullDate", "ReportDate")
                .join(places, "CountryID"))
-    rows = scoring.risk_profile(out["FactCustomer"], out["FactCredit"], out["FactLoan"], cases, prices, economy, as_of, country,
-                                old.get("FactRiskProfile"), exact_date)
+    facts = {"customers": out["FactCustomer"], "credit": out["FactCredit"], "loans": out["FactLoan"], "fraud": cases}
+    if "FactRiskProfile" in old:
+        facts["profile"] = old["FactRiskProfile"]
+
+    def score(f: Mapping[str, DataFrame]) -> DataFrame:
+        return scoring.risk_profile(f["customers"], f["credit"], f["loans"], f["fraud"], prices, economy, as_of, country, f.get("profile"), exact_date)
+
+    rows = save_colocated(facts, "CustomerSK", customer_buckets).each(score) if customer_buckets else score(facts)
     out["FactRiskProfile"] = save(scoring.update_risk_profile(old["FactRiskProfile"], rows) if "FactRiskProfile" in old else rows)
 
     current = scd.current_rows(customers)

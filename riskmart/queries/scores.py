@@ -9,6 +9,7 @@ from riskmart.functions.expr import date_id
 from riskmart.plans import measures as M
 from riskmart.plans import scoring as S
 from riskmart.queries.registry import Inputs, ctes, query
+from riskmart.sources.colocated import save_colocated
 
 COUNTRY = "NATION_1"
 
@@ -227,6 +228,15 @@ def s7(t):
     return double(profile_of(t, profile=history_of(t)), *SCORE_COLS)
 
 
+@query("s7_colocated_facts", ctes(PROFILE_OUT, *ADAPTERS_ALL, **PROFILE_CTES))
+def s7_colocated(t):
+    """The same profile over facts saved in buckets of the customer."""
+    facts = {"customers": customers_of(t), "loans": loans_of(t), "fraud": fraud_of(t), "profile": history_of(t)}
+    kept = save_colocated(facts, "CustomerSK")
+    return double(kept.each(lambda f: S.risk_profile(f["customers"], f["loans"], f["loans"], f["fraud"], market_of(t), t.stg_macro, AS_OF, COUNTRY,
+                                                     profile=f["profile"], exact_date=False)), *SCORE_COLS)
+
+
 @query("s7_risk_profile_upsert", ctes("""
 SELECT CustomerSK, DateID, CAST(AggregateRiskScore AS DOUBLE) AS AggregateRiskScore, RiskCategory FROM profile
 UNION ALL SELECT CustomerSK, DateID, CAST(AggregateRiskScore AS DOUBLE), NULL FROM hist h
