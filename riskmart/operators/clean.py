@@ -7,13 +7,13 @@ is an expression.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskmart.functions.expr import has_token, is_blank, null_apart, numeric_columns, pearson, round_even, string_columns
+from riskmart.functions.expr import has_token, is_blank, null_apart, numeric_columns, round_even, string_columns
+from riskmart.functions.moments import correlations, is_beyond
 from riskmart.functions.stats import modes, null_rates, order_statistics, small_domains
 from riskmart.functions.uniform import uniform
 from riskmart.operators.keys import rank_within
@@ -196,24 +196,16 @@ def float_to_int(df: DataFrame, patterns: Sequence[str] = INTEGER_NAMES) -> Data
     return df.withColumns({c: F.coalesce(F.col(c).try_cast("bigint"), F.lit(0)) for c in chosen})
 
 
-def drop_redundant_columns(df: DataFrame, keep: Sequence[str] = (), threshold: float = 0.95, batch: int = 100) -> DataFrame:
+def drop_redundant_columns(df: DataFrame, keep: Sequence[str] = (), threshold: float = 0.95) -> DataFrame:
     """Drop numbers that equal an earlier column (NULL counts as 0) or correlate with one beyond the threshold.
 
-    All pairs of up to ``batch`` at a time share one aggregate; only the small matrix reaches the driver.
+    All pairs come from one scan; only the small matrix reaches the driver.
     """
     cols = [c for c in numeric_columns(df) if c not in keep]
-    pairs, dropped = list(combinations(cols, 2)), set()
-    for at in range(0, len(pairs), batch):
-        part, aggs = pairs[at:at + batch], []
-        for i, (a, b) in enumerate(part):
-            differ = F.coalesce(F.col(a).cast("double"), F.lit(0.0)) != F.coalesce(F.col(b).cast("double"), F.lit(0.0))
-            aggs += [F.count_if(differ).alias(f"d{i}"), pearson(a, b).alias(f"r{i}")]
-        row = df.agg(*aggs).first()
-        for i, (_, b) in enumerate(part):
-            r = row[f"r{i}"]
-            if row[f"d{i}"] == 0 or (r is not None and abs(r) > threshold):
-                dropped.add(b)
-    return df.drop(*dropped)
+    if len(cols) < 2:
+        return df
+    found = correlations(df, cols)
+    return df.drop(*{b for (_, b), (same, r) in found.items() if same or is_beyond(r, threshold)})
 
 
 # --- categories ----------------------------------------------------------------------------------------------------

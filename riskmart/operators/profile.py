@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.functions.expr import numeric_columns, pearson
+from riskmart.functions.expr import numeric_columns
+from riskmart.functions.moments import correlations
 from riskmart.functions.stats import quantiles, value_counts
 from riskmart.schemas import LINEAGE
 
@@ -63,12 +63,10 @@ def histograms(df: DataFrame, cols: Sequence[str] | None = None, max_bins: int =
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Pearson correlation of each pair (lower triangle) of ``cols`` or all numeric columns, all pairs in one aggregate."""
+    """Pearson correlation of each pair (lower triangle) of ``cols`` or all numeric columns, all pairs from one scan."""
     cols = list(cols) if cols is not None else numeric_columns(df)
-    pairs = [(b, a) for a, b in combinations(cols, 2)]
-    row = df.agg(*[pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    cells = [F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(pairs)]
-    return row.select(F.inline(F.array(*cells)))
+    found = correlations(df, cols) if len(cols) > 1 else {}
+    return df.sparkSession.createDataFrame([(b, a, r) for (a, b), (_, r) in found.items()], "column_a string, column_b string, r double")
 
 
 def missing_report(df: DataFrame) -> DataFrame:
