@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from riskmart.functions.expr import FALSE_TOKENS, TRUE_TOKENS, clamp, null_apart, round_even
 from riskmart.operators.keys import dense_key, rank_within
+from riskmart.session import staged
 from riskmart.sources.staging import parse_timestamp
 
 # Columns filled by the load itself, and the words accepted as true and false.
@@ -80,16 +81,48 @@ def map_to_schema(df: DataFrame, schema: T.StructType, mapping: Mapping[str, str
     return df.select(*cols), absent
 
 
+def shared_dictionary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(col, value, code): the distinct values of columns of one type, numbered from 1 within each column (its place in ``cols``) in their order.
+
+    One shuffle finds the values of all columns; one range partition over (col, value) numbers them, and the least number of a column
+    is taken off. NULL has no code.
+    """
+    cells = [F.struct(F.lit(i).alias("col"), F.col(f"`{c}`").alias("value")) for i, c in enumerate(cols)]
+    values = df.select(F.explode(F.array(*cells)).alias("_c")).select("_c.*").where("value IS NOT NULL").distinct()
+    placed = dense_key(values, ["col", "value"], "_nth")
+    first = placed.groupBy("col").agg(F.min("_nth").alias("_first"))  # one row per column
+    return placed.join(F.broadcast(first), "col").select("col", "value", (F.col("_nth") - F.col("_first") + 1).alias("code"))
+
+
 def ids_to_int(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Replace text ids by dense integers, one per distinct id; a missing id becomes 0."""
-    for c in cols:
-        ids = dense_key(df.select(F.col(c).alias("_id")).distinct().filter("_id is not null"), ["_id"], "_int")
-        ids = ids.select(F.col("_id").cast("string").alias("_id"), "_int")
-        keep = [F.coalesce("_int", F.lit(0)).alias(c) if x == c else F.col(x) for x in df.columns]
-        df = df.withColumn("_apart", null_apart(c)).join(ids, F.col("_apart") == F.col("_id"), "left").select(*keep)
+    """Replace ids by dense integers, one per distinct id of a column in the order of its type; a missing id becomes 0.
+
+    Columns of one type share a dictionary. Several of them are looked up together: (row, column, value) is joined with the dictionary once, the codes
+    of a row are put together, and the rows take them by number, so wide rows cross one shuffle whatever the number of columns.
+    """
+    by_type: dict[str, list[str]] = {}
+    for c in dict.fromkeys(cols):
+        by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
+    for same in by_type.values():
+        df = _encoded(df, same)
     return df
 
 
+def _encoded(df: DataFrame, cols: list[str]) -> DataFrame:
+    if len(cols) == 1:
+        codes = shared_dictionary(df, cols).select(F.col("value").cast("string").alias("_id"), F.col("code").alias("_int"))
+        keep = [F.coalesce("_int", F.lit(0)).alias(x) if x == cols[0] else F.col(f"`{x}`") for x in df.columns]
+        return df.withColumn("_apart", null_apart(f"`{cols[0]}`")).join(codes, F.col("_apart") == F.col("_id"), "left").select(*keep)
+    # staged: the numbers of the rows must be the same in every pass, and each pass reads its columns only
+    rows = staged(df.withColumn("_row", F.monotonically_increasing_id()), "rows-to-encode")
+    names = [F.struct(F.lit(i).alias("col"), F.col(f"`{c}`").alias("value")) for i, c in enumerate(cols)]
+    cells = rows.select("_row", F.explode(F.array(*names)).alias("_c")).select("_row", "_c.*").where("value IS NOT NULL")
+    found = cells.join(shared_dictionary(rows, cols), ["col", "value"]).groupBy("_row").agg(
+        *[F.max(F.when(F.col("col") == i, F.col("code"))).alias(f"_code{i}") for i in range(len(cols))])
+    keep = [F.coalesce(f"_code{cols.index(x)}", F.lit(0)).alias(x) if x in cols else F.col(f"`{x}`") for x in df.columns]
+    return rows.join(found, "_row", "left").select(*keep)
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """First row of each key in a stated order (a map-side combined minimum, no window)."""
     rest = [c for c in df.columns if c not in keys]

@@ -28,6 +28,17 @@ def m2(t):
     return M.ids_to_int(t.part.select("p_partkey", "p_brand"), ["p_brand"])
 
 
+@query("m2_shared_dictionary", """
+WITH o AS (SELECT o_orderkey, o_orderpriority, o_clerk, CASE WHEN o_orderkey % 5 > 0 THEN o_clerk END AS some_clerk, o_custkey FROM (
+  SELECT o_orderkey, o_orderpriority, o_orderstatus || '-' || o_custkey AS o_clerk, o_custkey FROM orders))
+SELECT o_orderkey, DENSE_RANK() OVER (ORDER BY o_orderpriority) AS o_orderpriority, DENSE_RANK() OVER (ORDER BY o_clerk) AS o_clerk,
+ CASE WHEN some_clerk IS NULL THEN 0 ELSE DENSE_RANK() OVER (ORDER BY some_clerk NULLS LAST) END AS some_clerk, DENSE_RANK() OVER (ORDER BY o_custkey) AS o_custkey FROM o""")
+def m2_shared(t):
+    clerk = F.concat_ws("-", "o_orderstatus", F.col("o_custkey").cast("string"))
+    raw = t.orders.select("o_orderkey", "o_orderpriority", clerk.alias("o_clerk"), F.when(F.col("o_orderkey") % 5 > 0, clerk).alias("some_clerk"), "o_custkey")
+    return M.ids_to_int(raw, ["o_orderpriority", "o_clerk", "some_clerk", "o_custkey"])
+
+
 @query("m3_convert_type", """
 SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE LEFT(o_orderpriority, 4) END AS short_text, CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE CAST(TRUNC(o_totalprice) AS BIGINT) END AS whole,
  CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE o_totalprice END AS money, CASE WHEN o_orderkey % 11 = 0 THEN DATE '2024-01-30' ELSE CAST(o_orderdate AS DATE) END AS day,

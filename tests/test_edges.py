@@ -129,3 +129,22 @@ def test_movements_of_all_periods_are_kept(spark):
     periods = sorted((str(r["FromDate"]), str(r["ToDate"])) for r in state["movement"].select("FromDate", "ToDate").distinct().collect())
     assert periods == [("2024-01-01", "2024-02-01"), ("2024-02-01", "2024-03-01")]
     assert state["movement"].count() == 4
+
+
+def test_ids_of_several_columns_share_a_dictionary(spark):
+    rows = [("b", "x", 10, None, 1.5), ("a", None, 9, None, 2.5), ("b", "y", 10, None, 3.5), (None, "x", None, None, None), ("a", "b", 100, None, 4.5)] * 3
+    df = spark.createDataFrame(rows, "p string, `q.r` string, n long, nothing string, rest double").repartition(4)
+    out = conform.ids_to_int(df, ["p", "q.r", "n", "nothing"])
+    assert out.columns == df.columns
+    want = {(2, 2, 2, 0, 1.5), (1, 0, 1, 0, 2.5), (2, 3, 2, 0, 3.5), (0, 2, 0, 0, None), (1, 1, 3, 0, 4.5)}
+    got = [tuple(r) for r in out.collect()]
+    assert set(got) == want and len(got) == len(rows)
+    empty = conform.ids_to_int(df.limit(0), ["p", "q.r"])
+    assert empty.count() == 0 and empty.columns == df.columns
+
+
+def test_ids_of_a_hot_value(spark):
+    df = spark.range(5000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("a"), F.lit("one").alias("b"))
+    out = conform.ids_to_int(df, ["a", "b"])
+    distinct = df.select("a").distinct().count()
+    assert out.agg(F.count("*"), F.countDistinct("a"), F.min("a"), F.max("a"), F.max("b"), F.countDistinct("id")).first() == (5000, distinct, 1, distinct, 1, 5000)
