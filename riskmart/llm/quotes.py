@@ -12,7 +12,7 @@ No pairs are made: for each (conversation, line hash) one pass over its turns ca
 whose last owner is summed up first, so that a line said in a third of all messages is spread. Depths, starts of threads and the reply order (a tour of
 each tree, ranked as a list) grow by doubling, in rows of fixed width: a chain of n replies costs n rows a round, in about log2(2 n) rounds.
 
-Defined cases: NULL conversations are one conversation; a NULL turn can neither be quoted nor quote and comes last; NULL text is an empty
+Defined cases: NULL conversations are one conversation, another than that named by the empty text; a NULL turn can neither be quoted nor quote and comes last; NULL text is an empty
 message; several messages of one turn share its place in the tree, and stand in the order of role and a hash of the text; equal messages share one place; messages that quote
 what nobody said, or only blanks, start a thread; further columns are ignored. Cycles cannot occur, parents are earlier.
 """
@@ -98,7 +98,8 @@ def latest(own: DataFrame, asked: DataFrame) -> DataFrame:
 def parents(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(ck, turn, parent, votes) for each message that quotes an earlier one, and (ck, turn, m, placed): the numbers of the quoted lines that have an original."""
     lines = staged(parsed(messages).where(F.col("turn").isNotNull()), "message-lines")
-    quoted = lines.where("depth > 0").withColumn("_least", F.min("depth").over(Window.partitionBy("ck", "turn")) == F.col("depth"))
+    least = lines.where("depth > 0").groupBy("ck", "turn").agg(F.min("depth").alias("_depth"))  # combines before the shuffle, so a turn of very many lines is no task
+    quoted = lines.where("depth > 0").join(least, ["ck", "turn"]).withColumn("_least", F.col("_depth") == F.col("depth")).drop("_depth")
     quoted = staged(quoted, "quoted-lines")
     own = lines.where("depth = 0").select("ck", "hash", "turn").distinct()
     found = latest(own, quoted.groupBy("ck", "hash", "turn").agg(F.count(F.when(F.col("_least"), 1)).alias("votes")))
@@ -162,7 +163,7 @@ def tour(answers: DataFrame, heads: DataFrame) -> DataFrame:
 
 def link(messages: DataFrame) -> DataFrame:
     """Per message: conv_id, turn, role, body (without quotes), said (with the quoted lines that have no original), parent_turn, votes, thread_turn, depth, place (0, 1, ... in its conversation)."""
-    known = messages.select("conv_id", "turn", "role", "text").withColumn("ck", F.coalesce(F.col("conv_id").cast("string"), F.lit("")))
+    known = messages.select("conv_id", "turn", "role", "text").withColumn("ck", F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("")))
     answers, placed = parents(known)
     answers, placed = staged(answers, "answers"), staged(placed, "placed-lines")
     tops = staged(threads(answers), "tops")

@@ -208,6 +208,18 @@ def test_quotation_linking(spark):
     assert quotes.link(df.limit(0)).count() == 0
 
 
+def test_null_and_empty_names_are_different_conversations(spark):
+    rows = [(None, 0, "user", "a question of weight"), ("", 1, "user", "> a question of weight\nyes"), ("", 0, "user", "hello"), (None, 1, "user", "> a question of weight\nno"), ("=", 0, "user", "third")]
+    got = {(r["conv_id"], r["turn"]): (r["parent_turn"], r["place"]) for r in quotes.link(spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")).collect()}
+    assert got == {(None, 0): (None, 0), (None, 1): (0, 1), ("", 0): (None, 0), ("", 1): (None, 1), ("=", 0): (None, 0)}
+
+
+def test_all_messages_of_one_turn_quote(spark):
+    rows = [(1, 0, "user", "first things come first")] + [(1, 1, "user", f"> > {i}\n> first things come first\nanswer {i}") for i in range(300)]
+    got = quotes.link(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)).collect()
+    assert {r["parent_turn"] for r in got if r["turn"] == 1} == {0} and sorted(r["place"] for r in got) == list(range(301))
+
+
 def test_rewrapped_and_foreign_quotes(spark):
     first = "We should move the nightly load to the new cluster before Friday, because the old one is full."
     rows = [(1, 0, "user", first + "\nok"), (1, 1, "assistant", "Something else entirely is said here.\nok"),
