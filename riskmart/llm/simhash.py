@@ -15,21 +15,25 @@ are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from riskmart.llm.common import ASCII_LOWER, with_key
-from riskmart.llm.near import linked
+from riskmart.llm.near import link_buckets, linked
 from riskmart.session import drop_staged, staged, staged_mark
 
 GENERATOR = 0b110001110101  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
 ROW_CHUNK = 1 << 15
 #: What ``keep_one`` takes for near: words of a shingle, Jaccard similarity of the shingles; and the bands and rows of its min-hashes.
 SHINGLE, SIMILAR, BANDS, ROWS = 5, 0.8, 20, 4
+#: Bits in which linked fingerprints differ at most; the keys find all such pairs.
+MOST_BITS = 3
 
 
 def remainder(word: int) -> int:
@@ -108,11 +112,18 @@ def fingerprint_of(text: str | None) -> int:
         starts, ends = starts[:-2], ends[2:]
     else:
         starts, ends = [0], [len(line)]
-    total, starts, ends = np.zeros(64, np.int64), list(map(int, starts)), list(map(int, ends))
-    for i in range(0, len(starts), ROW_CHUNK):
-        h = np.array([digest(line[s:e], 42) for s, e in zip(starts[i: i + ROW_CHUNK], ends[i: i + ROW_CHUNK])], dtype="<u8")
+    starts, ends = list(map(int, starts)), list(map(int, ends))
+    chunks = ([digest(line[s:e], 42) for s, e in zip(starts[i: i + ROW_CHUNK], ends[i: i + ROW_CHUNK])] for i in range(0, len(starts), ROW_CHUNK))
+    return majority(chunks, len(starts))
+
+
+def majority(chunks: Iterable[Sequence[int]], n: int) -> int:
+    """Bits set in over half of ``n`` hash values, as a signed 64-bit number; zero for none."""
+    total = np.zeros(64, np.int64)
+    for chunk in chunks:
+        h = np.asarray(chunk, dtype="<u8")
         total += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    bits = (2 * total > len(starts)).astype(np.uint8)
+    bits = (2 * total > n).astype(np.uint8)
     return int(np.packbits(bits, bitorder="little").view("<i8")[0])
 
 
@@ -124,25 +135,24 @@ def fingerprint(text: Column) -> Column:
     return of(text)
 
 
-def with_keys(fingerprints: DataFrame) -> DataFrame:
-    """(key, node) of distinct fingerprints, a fingerprint being its own node: some 88 keys each."""
+def with_keys(nodes: DataFrame) -> DataFrame:
+    """(key, node, fp, size) of nodes with their fingerprints: some 88 keys each."""
 
     def expand(batches):
         for pdf in batches:
             all_fp = pdf["fp"].to_numpy(np.int64)
             for i in range(0, len(all_fp), ROW_CHUNK // 8):
-                fp = all_fp[i: i + ROW_CHUNK // 8]
-                row, key = keys_of(fp)
-                yield pd.DataFrame({"key": key, "node": fp[row]}).drop_duplicates()
+                row, key = keys_of(all_fp[i: i + ROW_CHUNK // 8])
+                yield pdf.iloc[i + row].assign(key=key)[["key", "node", "fp", "size"]].drop_duplicates()
 
-    return fingerprints.select("fp").mapInPandas(expand, "key long, node long")
+    return nodes.select("node", "fp", "size").mapInPandas(expand, "key long, node long, fp long, size int")
 
 
-def groups(marked: DataFrame, most_bits: int = 3) -> DataFrame:
+def groups(marked: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     """(fp, root) for every distinct fingerprint of ``marked`` (fp): root names its group of linked fingerprints."""
     distinct = staged(marked.select("fp").distinct(), "fingerprints")
     nodes = distinct.select(F.col("fp").alias("node"), "fp", F.lit(0).alias("size"))
-    found = linked(with_keys(distinct), nodes, most_bits).withColumnRenamed("node", "fp")
+    found = linked(with_keys(nodes), nodes, most_bits).withColumnRenamed("node", "fp")
     return distinct.join(found, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
@@ -183,10 +193,11 @@ def band_keys(shingles: np.ndarray) -> list[int]:
 
 
 def sketch(text: Column) -> Column:
-    @F.pandas_udf("node long, size int, keys array<long>")
+    @F.pandas_udf("node long, size int, fp long, keys array<long>")
     def of(texts: pd.Series) -> pd.DataFrame:
         both = [shingles_of(t) for t in texts]
-        return pd.DataFrame({"node": [n for n, _ in both], "size": [len(x) for _, x in both], "keys": [band_keys(x) for _, x in both]})
+        fp = [majority((x[i: i + ROW_CHUNK] for i in range(0, len(x), ROW_CHUNK)), len(x)) for _, x in both]
+        return pd.DataFrame({"node": [n for n, _ in both], "size": [len(x) for _, x in both], "fp": fp, "keys": [band_keys(x) for _, x in both]})
 
     return of(text)
 
@@ -203,12 +214,14 @@ def keep_one(documents: DataFrame) -> DataFrame:
     """``documents`` with one row of every group of near-duplicates: that of the smallest doc_id (NULL last), once.
 
     Two texts link if their sets of five-word shingles have a Jaccard similarity of ``SIMILAR`` or more; it is computed on the whole sets. Candidates
-    share one of ``BANDS`` keys of ``ROWS`` min-hashes each, which a pair of similarity 0.8 misses with probability 3e-5 (by calculation).
+    have SimHash fingerprints of these sets within ``MOST_BITS`` bits, all of which share a key of the Golay code. At that similarity fingerprints may
+    lie further apart, so candidates are also those that share one of ``BANDS`` keys of ``ROWS`` min-hashes each, which a pair of similarity 0.8 misses
+    with probability 3e-5 (by calculation).
     """
     mark, keyed = staged_mark(), with_key(documents, "doc_id", "text")
     marked = staged(keyed.select("doc_id", "__k1", "__k2", sketch(F.col("text")).alias("_s")).select("doc_id", "__k1", "__k2", "_s.*"), "marked")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__k1", "__k2")).alias("_b")
-    nodes = staged(marked.groupBy("node").agg(best, F.min("size").alias("size")), "texts")
+    nodes = staged(marked.groupBy("node").agg(best, F.min("size").alias("size"), F.min("fp").alias("fp"), F.min("keys").alias("keys")), "texts")
 
     def close(pairs: DataFrame) -> DataFrame:
         pairs = staged(pairs, "text-pairs")
@@ -222,8 +235,12 @@ def keep_one(documents: DataFrame) -> DataFrame:
         both = pairs.join(left, "a").join(right, "b").withColumn("_both", F.size(F.array_intersect("_seta", "_setb")))
         return both.where(F.col("_both") >= SIMILAR * (F.size("_seta") + F.size("_setb") - F.col("_both")) - 1e-9).drop("_seta", "_setb", "_both")
 
-    keys = marked.select(F.explode("keys").alias("key"), "node").distinct()
-    group = linked(keys, nodes.select("node", F.lit(0).cast("long").alias("fp"), "size"), 0, SIMILAR, close)
+    golay = with_keys(nodes.where("size > 0")).select(F.xxhash64(F.lit(-1), "key").alias("key"), "node", "fp", "size")
+    bands = nodes.select(F.explode("keys").alias("key"), "node", F.lit(0).cast("long").alias("fp"), "size")  # no bits to compare
+    fact, bucket = F.struct("node", "fp", "size"), Window.partitionBy("key")
+    shared = golay.unionByName(bands).select("key", fact.alias("_f"), F.min(fact).over(bucket).alias("hub"), F.max("node").over(bucket).alias("_last"))
+    buckets = staged(shared.where("hub.node != _last").select("key", "_f.*", "hub"), "text-buckets")
+    group = link_buckets(buckets, MOST_BITS, SIMILAR, close)
     firsts = nodes.join(group, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("_b").alias("_b"))
     firsts = staged(firsts.select("_b.__k1", "_b.__k2"), "firsts")
     drop_staged(documents.sparkSession, mark, keep=[firsts])

@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from riskmart.llm import near, simhash, winnow
 from riskmart.llm.common import ASCII_LOWER
@@ -116,6 +117,24 @@ def test_keep_one_finds_planted_copies(spark):
     assert got == want and missed_by_bits > 10 and len(want) > 70
 
 
+def test_keep_one_links_by_fingerprints(spark, monkeypatch):
+    """Without the bands, the Golay keys alone find every near copy whose fingerprint is within three bits, and the shingles decide on it."""
+    rng, rows, want, within = np.random.default_rng(3), [], set(), 0
+    for i in range(40):
+        words = [f"w{x}" for x in rng.integers(0, 5000, int(rng.integers(200, 400)))]
+        copy = [*words[:-1], "new"] if i % 2 else [f"v{x}" for x in rng.integers(0, 5000, 200)]
+        (_, a), (_, b) = (simhash.shingles_of(" ".join(w)) for w in (words, copy))
+        bits = bin((simhash.majority([a], len(a)) ^ simhash.majority([b], len(b))) & (2**64 - 1)).count("1")
+        linked = bits <= 3 and len(set(a.tolist()) & set(b.tolist())) >= 0.8 * len(set(a.tolist()) | set(b.tolist()))
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(copy))]
+        want |= {2 * i} if linked else {2 * i, 2 * i + 1}
+        within += linked
+    sketch = simhash.sketch
+    monkeypatch.setattr(simhash, "sketch", lambda text: sketch(text).withField("keys", F.array().cast("array<long>")))
+    got = {r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == want and within > 10
+
+
 def test_components_of_paths_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, i) for i in range(101, 160)] + [(5, 5), (200, 201), (201, 202), (202, 200), (201, 200)]
     got = {r["node"]: r["root"] for r in near.components(spark.createDataFrame(edges, "a long, b long")).collect()}
