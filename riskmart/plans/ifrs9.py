@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,6 +124,13 @@ def update_stages(target: DataFrame, rows: DataFrame) -> DataFrame:
     return upsert(target, rows, DATED, [c for c in rows.columns if c not in DATED])
 
 
+def _run_upserted(target: DataFrame, rows: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
+    """(whole table, its part of the date) after the upsert of the rows of one date: rows of other dates match nothing and cross no shuffle."""
+    same = F.coalesce(F.col("AsOfDate") == _day(as_of), F.lit(False))
+    part = update_stages(target.filter(same), rows)
+    return target.filter(~same).unionByName(part), part
+
+
 # --- parameters ----------------------------------------------------------------------------------------------------
 
 def _past_due(df: DataFrame) -> Column:
@@ -260,8 +269,15 @@ def ecl_movement(calc: DataFrame, stages: DataFrame, params: DataFrame, from_dat
     overlap; with ``exclusive=True`` every change is booked to exactly one cause, so that the opening value plus all
     components equals the closing value.
     """
-    a = _side(calc, stages, params, from_date, "a_")
-    b = _side(calc, stages, params, to_date, "b_")
+    a, b = (calc, stages, params), (calc, stages, params)
+    return _movement(a, b, from_date, to_date, loans_from, loans_to, exclusive)
+
+
+def _movement(before: Sequence[DataFrame], after: Sequence[DataFrame], from_date, to_date, loans_from: DataFrame | None, loans_to: DataFrame | None,
+              exclusive: bool = False) -> DataFrame:
+    """:func:`ecl_movement` from the calculations, stages and parameters that hold each of the two dates."""
+    a = _side(*before, from_date, "a_")
+    b = _side(*after, to_date, "b_")
     j = a.join(b, KEY, "full")
     if loans_from is not None and loans_to is not None and "WriteOffFlag" in loans_to.columns:
         j = j.join(loans_from.select(*KEY, F.col("IsActive").alias("_a1")), KEY, "left")
@@ -325,16 +341,18 @@ def run_ifrs9(accounts: DataFrame, loans: DataFrame, scenarios: DataFrame, as_of
     classify = classify_instruments if has_flags else classify_instruments_basic
     out = {"classification": classify(accounts, old.get("classification"), as_of), "loans": loans}
     rows = save(stage_history(ecl_stage(loans, as_of), old.get("stages"), as_of))
-    out["stages"] = update_stages(old["stages"], rows) if "stages" in old else rows
+    out["stages"], stages = _run_upserted(old["stages"], rows, as_of) if "stages" in old else (rows, rows)
     params = save(ecl_parameters(loans, rows, as_of))
-    out["params"] = upsert(old["params"], params, DATED, [c for c in params.columns if c not in DATED]) if "params" in old else params
+    out["params"], params = _run_upserted(old["params"], params, as_of) if "params" in old else (params, params)
     loss = save(ecl(params, rows, loans, scenarios, as_of, include_all, scenario_mode))
     out["calc"] = replace_date(old.get("calc"), loss, as_of)
     before = previous_run(old.get("calc"), as_of)
     if "movement" in old:
         out["movement"] = old["movement"]
     if before is not None:
-        moved = ecl_movement(out["calc"], out["stages"], out["params"], before, as_of, old.get("loans"), loans)
+        # the upserts of this run leave the rows of the earlier date as they are
+        earlier = (old["calc"], old.get("stages", stages), old.get("params", params))
+        moved = _movement(earlier, (loss, stages, params), before, as_of, old.get("loans"), loans)
         if "movement" in old:  # every period once, the latest calculation of it
             same = (F.col("FromDate") == _day(before)) & (F.col("ToDate") == _day(as_of))
             moved = old["movement"].filter(~same).unionByName(moved)

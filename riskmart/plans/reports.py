@@ -139,11 +139,14 @@ def ecl_staging_summary(stages: DataFrame, loans: DataFrame, calc: DataFrame) ->
 
 
 def ecl_detail(calc: DataFrame, customers: DataFrame, accounts: DataFrame, loans: DataFrame, scenarios: DataFrame) -> DataFrame:
-    """One row per calculation with loan and scenario."""
+    """One row per calculation with loan and scenario.
+
+    Loans meet their owners and accounts first: there are fewer of them than calculations, which are wide and cross one shuffle only.
+    """
     key = ["CustomerSK", "AccountSK"]
+    loans = loans.select(*key, "CurrentBalance", "InterestRate", "MaturityDate", "DaysPastDue")
     return (
-        calc.join(_people(customers), "CustomerSK").join(_accounts(accounts), "AccountSK")
-        .join(loans.select(*key, "CurrentBalance", "InterestRate", "MaturityDate", "DaysPastDue"), key)
+        calc.join(loans.join(_accounts(accounts), "AccountSK").join(_people(customers), "CustomerSK"), key)
         .join(scenarios.select("ScenarioID", "ScenarioName", "ScenarioWeight"), "ScenarioID")
         .select(F.col("AsOfDate").alias("ReportDate"), *_people(customers).columns[1:], "AccountNumber", "AccountType", "ECLStage", "GrossCarryingAmount", "AppliedECL",
                 "NetCarryingAmount", "PD_Applied", "LGD_Applied", "EAD_Applied", "DiscountFactor", "CurrentBalance", "InterestRate", "MaturityDate", "DaysPastDue",

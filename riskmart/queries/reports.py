@@ -121,8 +121,9 @@ CALC_ALL = "(SELECT * FROM c1 UNION ALL SELECT * FROM c2)"
 
 
 def people(t):
-    k = F.col("o_custkey")
-    return t.orders.select(k.alias("CustomerSK"), (k + 1000).alias("CustomerID"), F.concat(F.lit("C"), k.cast("string")).alias("CustomerName")).distinct()
+    k = F.col("CustomerSK")
+    owners = t.orders.select(F.col("o_custkey").alias("CustomerSK")).distinct()
+    return owners.select(k, (k + 1000).alias("CustomerID"), F.concat(F.lit("C"), k.cast("string")).alias("CustomerName"))
 
 
 def books(t):
