@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskmart.plans import ifrs9 as I
-from riskmart.queries.ifrs9 import AS_OF, BEFORE, loans_before, loans_now, two_runs
+from riskmart.queries.ifrs9 import AS_OF, BEFORE, accounts, loans_before, loans_now, two_runs
 from riskmart.queries.registry import Inputs
 
 
@@ -43,3 +43,13 @@ def test_pd_may_exceed_one_unless_capped(spark):
     df = spark.createDataFrame([(500, 95)], "CreditScore int, DaysPastDue int")
     assert df.select(I.pd_12m(df)).first()[0] == pytest.approx(1.8)
     assert df.select(I.pd_12m(df, cap=True)).first()[0] == 1.0
+
+
+def test_movement_joins_the_rows_of_its_dates_only(spark, sf_dir):
+    """Two runs unsaved: the movement needs its own full join and at most one for each upsert of the second run, not one for each date too (5 in all)."""
+    t = Inputs(spark, sf_dir)
+    scenarios, every = I.seed_scenarios(spark), accounts(t)
+    first = I.run_ifrs9(every, loans_before(t), scenarios, BEFORE, save=lambda df: df)
+    second = I.run_ifrs9(every, loans_now(t), scenarios, AS_OF, first, save=lambda df: df)
+    plan = second["movement"]._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= plan.count("Join FullOuter") <= 3
