@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskmart.llm import lines, quotes
+from riskmart.llm import lines, near, quotes
 from riskmart.llm.common import ASCII_LOWER
 from riskmart.llm.queries import QUERIES
 
@@ -125,6 +125,35 @@ def test_lines_of_a_repeated_word(spark):
     assert {r["doc_id"]: r["text"] for r in lines.dedup_lines(df).collect()} == want
 
 
+def test_letters_lose_no_link(spark):
+    """Whatever the edit similarity links passes the letters' bound; lines of the same word pairs but other letters do not reach the distance."""
+    rng = np.random.default_rng(6)
+    texts = ["".join(rng.choice(list("aehtzq \u00fc1"), n)) for n in rng.integers(10, 160, 25)] + ["e" * 30, "e" * 37 + " x", "z" * 30, BASE, BASE.replace("the", "te")]
+    texts += ["".join(c if rng.random() > 0.15 else "k" for c in t) for t in texts]
+    table = lines.with_bags(spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "i int, _t string, size int"))
+    cols = ["i", "size", *[f"c{k}" for k in range(len(lines.BAGS))]]
+    left, right = (table.select([F.col(c).alias(f"{side}_{c}") for c in cols]) for side in "lr")
+    allowed = {(r["l_i"], r["r_i"]) for r in left.join(right, (F.col("r_i") < F.col("l_i")) & lines.bags_allow(0.8)("l_", "r_")).collect()}
+    want = set(true_links(texts))
+    assert len(want) > 10 and want <= allowed and len(allowed) < len(texts) * (len(texts) - 1) / 4
+
+
+def test_buckets_drop_impossible_pairs(spark):
+    """A pair that the carried columns exclude is not handed on to be verified, neither in the star nor between groups."""
+    nodes = [(n, 0, 10, n % 2) for n in range(6)]
+    hub = (0, 0, 10, 0)
+    shared = spark.createDataFrame([(1, *n, hub) for n in nodes], "key long, node long, fp long, size int, c int, hub struct<node: long, fp: long, size: int, c: int>")
+    seen = []
+
+    def verify(pairs):
+        seen.extend((r["a"], r["b"]) for r in pairs.collect())
+        return pairs
+
+    got = near.link_buckets(shared, 0, 0.8, verify, ["c"], lambda a, b: F.col(f"{a}c") == F.col(f"{b}c"))
+    assert {(r["node"], r["root"]) for r in got.collect()} == {(n, n % 2) for n in range(6)}
+    assert seen and all(a % 2 == b % 2 for a, b in seen)
+
+
 def test_very_long_lines(spark):
     """Lines of a hundred thousand characters are compared by words, within seconds; tokens without blanks take the same way."""
     rng = np.random.default_rng(4)
