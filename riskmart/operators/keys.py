@@ -78,8 +78,8 @@ def natural_key_hash(cols: Sequence[str | Column]) -> Column:
     return F.md5(F.concat_ws("|", *parts))
 
 
-def one_per_key(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str] | None = None) -> DataFrame:
-    """One row per key: the latest by ``latest_by``, or, without it, an error when a key repeats."""
+def one_per_key(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str] | None = None, show: str | None = None) -> DataFrame:
+    """One row per key: the latest by ``latest_by``, or, without it, an error when a key repeats; it names the key, or the struct column ``show``."""
     rest = [c for c in df.columns if c not in keys]
     if latest_by is not None:
         # The row itself closes the order, so ties cannot make the pick depend on task timing.
@@ -87,7 +87,7 @@ def one_per_key(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str] | N
         return df.groupBy(*keys).agg(pick.alias("_p")).select(*keys, *[F.col(f"_p._r.{c}").alias(c) for c in rest])
     grouped = df.groupBy(*keys).agg(F.count("*").alias("_n"), *[F.any_value(c).alias(c) for c in rest])
     single = F.when(F.col("_n") == 1, F.lit(True)).otherwise(
-        F.raise_error(F.concat(F.lit("duplicate source key: "), F.to_json(F.struct(*keys)))).cast("boolean")
+        F.raise_error(F.concat(F.lit("duplicate source key: "), F.to_json(F.col(show) if show else F.struct(*keys)))).cast("boolean")
     )
     return grouped.filter(single).select(*df.columns)
 
@@ -104,18 +104,25 @@ def upsert(
 
     One full outer join on the key; both sides are unique in it, so no key can be hot. The key is compared as one struct: with a
     literal part that differs between the sides, equality of the parts would fold to false and leave a join without keys. A
-    repeated source key is an error unless ``latest_by`` says which row wins.
+    repeated source key is an error unless ``latest_by`` says which row wins. The source is grouped by that struct too, so that the join
+    takes the rows where the grouping left them. A key with a NULL part matches nothing.
     """
     insert_cols = list(insert_cols) if insert_cols is not None else [c for c in source.columns if c in target.columns]
     have = {f.name: f.dataType for f in target.schema.fields}
 
     def whole(k: Sequence[str]) -> Column:
-        parts = F.struct(*[F.col(c).cast(have[c]).alias(c) for c in k])
-        return F.when(all_of(F.col(c).isNotNull() for c in k), parts)
+        return F.struct(*[F.col(c).cast(have[c]).alias(c) for c in k])
 
-    src = one_per_key(source, keys, latest_by).withColumns({"_s": F.lit(1), "_key": whole(keys)}).alias("s")
+    if all(source.schema[c].dataType == have[c] for c in keys):
+        order = None if latest_by is None else [c for c in latest_by if c not in keys]
+        src = one_per_key(source.withColumn("_key", whole(keys)).drop(*keys), ["_key"], order, show="_key")
+        src = src.select(*[F.col(f"_key.{c}").alias(c) for c in keys], *src.columns)
+    else:
+        src = one_per_key(source, keys, latest_by).withColumn("_key", whole(keys))
+    src = src.withColumn("_s", F.lit(1)).alias("s")
     tgt = target.withColumns({"_t": F.lit(1), "_key": whole(keys)}).alias("t")
-    joined = tgt.join(src, F.col("t._key") == F.col("s._key"), "full")
+    known = all_of(F.col(f"t.{c}").isNotNull() for c in keys)
+    joined = tgt.join(src, (F.col("t._key") == F.col("s._key")) & known, "full")
     in_t, in_s = F.col("t._t").isNotNull(), F.col("s._s").isNotNull()
     out = []
     for f in target.schema.fields:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskmart.functions.expr import any_of
 from riskmart.operators.keys import dense_key, next_key, one_per_key
+from riskmart.session import settle
 
 PERIOD = ("IsCurrent", "effective_start", "effective_end")
 
@@ -32,11 +33,12 @@ def scd2_apply(dim: DataFrame, batch: DataFrame, key: str, tracked: Sequence[str
 
     Changes are compared NULL-safely. Keys missing from the batch stay as they are. History is carried along untouched,
     only the current rows take part in the join. A new version stores ``attributes`` (default: the tracked ones), so a
-    caller may watch a few attributes and still replace all of them.
+    caller may watch a few attributes and still replace all of them. The rows of the batch are settled, because kept rows, new rows
+    and the ranges of their keys all come from them.
     """
     stored = list(attributes or tracked)
     rows = one_per_key(batch.select(key, *stored, *(latest_by or ())), [key], latest_by)
-    rows = rows.select(key, *stored).withColumn("_b", F.lit(1)).alias("b")
+    rows = settle(rows.select(key, *stored)).withColumn("_b", F.lit(1)).alias("b")
     current = dim.filter("IsCurrent = 1").alias("d")
     joined = current.join(rows, F.col(f"d.{key}") == F.col(f"b.{key}"), "full")
     known, seen = F.col("d.IsCurrent").isNotNull(), F.col("b._b").isNotNull()

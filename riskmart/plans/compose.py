@@ -14,6 +14,7 @@ from riskmart.operators.knn import impute_numeric
 from riskmart.plans import gate, marts, measures, scoring
 from riskmart.plans.runlog import step_log
 from riskmart.session import settle
+from riskmart.session import staged as write_staged
 from riskmart.sources.colocated import save_colocated
 from riskmart.sources.date_dim import build_date_dim
 from riskmart.sources.files import add_lineage
@@ -95,8 +96,13 @@ def cook_dataset(df: DataFrame, dataset: str, schema: T.StructType, mapping: Map
 
 # --- from staged tables to the mart --------------------------------------------------------------------------------
 
+def keep_columns(df: DataFrame) -> DataFrame:
+    """``df`` saved by columns, of which a later step reads only its own."""
+    return write_staged(df, "mart")
+
+
 def stage_to_mart(staged: Mapping[str, DataFrame], as_of, country: str, log: DataFrame | None = None, existing: Mapping[str, DataFrame] | None = None,
-                  exact_date: bool = False, save=settle, fail_on_error: bool = False, loan_store=None,
+                  exact_date: bool = False, save=keep_columns, fail_on_error: bool = False, loan_store=None,
                   customer_buckets: int | None = None) -> dict[str, DataFrame]:
     """One load: gate, dimensions, facts, scores, reconciliation.
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from riskmart.operators.keys import (
     dense_key, insert_missing, natural_key_hash, next_key, one_per_key, upsert)
 from riskmart.operators.snapshot import KeyedTable
+from riskmart.session import settle
 
 TRACKED = ["Age", "EmploymentStatus", "JobTitle", "HomeOwnershipStatus", "MaritalStatus", "PreviousLoanDefault"]
 LOAN_KEY = ["CustomerSK", "LoanDateID", "LoanTypeID", "LoanAmount"]
@@ -67,6 +68,7 @@ def load_dim_account(loans: DataFrame, customers: DataFrame, existing: DataFrame
         "AccountID", *values, "CustomerSK")
     if existing is None:
         return dense_key(owned, ["AccountID"], "AccountSK").select("AccountSK", "CustomerSK", "AccountID", *values)
+    owned = settle(owned)  # known and new accounts both come from it
     updated = upsert(existing, owned.join(existing.select("AccountID"), "AccountID", "left_semi"), ["AccountID"],
                      [*values, "CustomerSK"])
     fresh = owned.join(existing, "AccountID", "left_anti")

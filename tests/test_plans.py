@@ -1,8 +1,14 @@
 """Plans of the registered queries: no pair-wise joins, no row-wise Python, pruned scans."""
 
+from collections import Counter
+
 import pytest
 
+from riskmart.operators.keys import upsert
+from riskmart.operators.scd import scd2_apply, scd2_start
 from riskmart.queries import QUERIES
+from riskmart.queries.compose import staged as staged_tables
+from riskmart.queries.registry import Inputs
 
 PYTHON_BY_DESIGN = {"e2_register_strategies", "p6_impute_numeric", "p7_knn_impute"}
 
@@ -42,3 +48,35 @@ def test_gate_lists_what_it_broadcasts(spark, sf_dir):
     text = plan(QUERIES["v12_validate_pre_production"](spark, sf_dir))
     assert "CartesianProduct" not in text
     assert not keyless(text)
+
+
+def test_upsert_moves_the_source_once(spark):
+    """The join takes the grouped source as it lies: one exchange of the source, one of the target (before: two and one)."""
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        target = spark.createDataFrame([(1, 1, "a"), (None, 2, "b"), (3, None, "c")], "k long, d long, v string")
+        source = spark.createDataFrame([(1, 1, "x", 1), (1, 1, "y", 2), (None, 2, "z", 1), (4, 4, "w", 1)], "k long, d long, v string, n long")
+        out = upsert(target, source, ["k", "d"], ["v"], latest_by=["k", "n"])
+        assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(") == 2
+        assert Counter(map(tuple, out.collect())) == Counter(
+            [(1, 1, "y"), (None, 2, "b"), (3, None, "c"), (None, 2, "z"), (4, 4, "w")])
+        with pytest.raises(Exception, match='duplicate source key: \\{"k":1,"d":1\\}'):
+            upsert(target, source, ["k", "d"], ["v"]).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_a_load_reads_staged_tables_that_are_built_once(spark, sf_dir):
+    """Before: orders and customers were joined anew by every step."""
+    for df in staged_tables(Inputs(spark, sf_dir)).values():
+        assert df.inputFiles() and not any(f.startswith(f"file://{sf_dir}") for f in df.inputFiles())
+
+
+def test_a_changed_batch_is_grouped_once(spark):
+    """Kept and new rows come from one settled batch: the plan of the result reads it without grouping it again (before: twice)."""
+    first = scd2_start(spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string"), "k", ["v"], "2024-01-01", "sk")
+    batch = spark.createDataFrame([(1, "a"), (2, "c"), (3, "d")], "k long, v string")
+    out = scd2_apply(first, batch, "k", ["v"], "2024-02-01", "sk")
+    assert "any_value" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r["k"], r["v"], r["IsCurrent"]) for r in out.collect()} == {(1, "a", 1), (2, "b", 0), (2, "c", 1), (3, "d", 1)}
