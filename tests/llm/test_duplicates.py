@@ -185,3 +185,44 @@ def test_decontamination_odd_rows(spark, odd, no_rows, broadcast, monkeypatch):
     check_contamination(winnow.contamination(both, bench).collect(), docs, items)
     assert winnow.contamination(no_rows, bench).count() == 0
     assert {r["n_hit"] for r in winnow.contamination(odd, bench.limit(0)).collect()} == {0}
+
+
+def test_like_nodes_in_many_buckets_are_checked_once(spark):
+    """Sixty nodes in eight buckets of different smallest nodes: a check for each, not for each bucket (before: 508)."""
+    seen = []
+
+    def verify(pairs):
+        seen.append(pairs.count())
+        return pairs
+
+    keys = [(k, n) for k in range(8) for n in [*range(k, 8), *range(100, 160)]]
+    nodes = [(n, 0, 10) for n in [*range(8), *range(100, 160)]]
+    got = near.linked(spark.createDataFrame(keys, "key long, node long"), spark.createDataFrame(nodes, "node long, fp long, size long"), 0, 0.8, verify)
+    assert {r["node"]: r["root"] for r in got.collect()} == {n: 0 for n, _, _ in nodes}
+    assert sum(seen) == 67
+
+
+def test_links_that_only_later_rounds_find(spark):
+    """Random buckets and links against brute force; the smallest node of a bucket often links to none of it."""
+    rng = np.random.default_rng(5)
+    for size in (3, 12, 40):
+        keys = sorted({(int(k), int(n)) for k, n in zip(rng.integers(0, 12, 12 * size), rng.integers(0, 60, 12 * size))})
+        true = {(a, b) for a in range(60) for b in range(a + 1, 60) if rng.random() < 0.05}
+        links = spark.createDataFrame(sorted(true), "a long, b long")
+        nodes = spark.createDataFrame([(n, 0, 10) for n in range(60)], "node long, fp long, size long")
+
+        def verify(pairs):
+            ends = [F.least("a", "b").alias("_x"), F.greatest("a", "b").alias("_y")]
+            return pairs.select("*", *ends).join(links.toDF("_x", "_y"), ["_x", "_y"], "left_semi").select(*pairs.columns)
+
+        got = near.linked(spark.createDataFrame(keys, "key long, node long"), nodes, 0, 0.8, verify)
+        held = {}
+        for k, n in keys:
+            held.setdefault(k, set()).add(n)
+        parent = list(range(60))
+        for a, b in true:
+            if any(a in s and b in s for s in held.values()):
+                low, high = sorted((parent[a], parent[b]))
+                parent = [low if x == high else x for x in parent]
+        want = {n: parent[n] for n in range(60) if parent.count(parent[n]) > 1}
+        assert {r["node"]: r["root"] for r in got.collect()} == want
