@@ -224,7 +224,6 @@ def keep_one(documents: DataFrame) -> DataFrame:
     nodes = staged(marked.groupBy("node").agg(best, F.min("size").alias("size"), F.min("fp").alias("fp"), F.min("keys").alias("keys")), "texts")
 
     def close(pairs: DataFrame) -> DataFrame:
-        pairs = staged(pairs, "text-pairs")
         if pairs.isEmpty():
             return pairs
         wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()

@@ -154,6 +154,27 @@ def test_buckets_drop_impossible_pairs(spark):
     assert seen and all(a % 2 == b % 2 for a, b in seen)
 
 
+@pytest.mark.parametrize("n, link, most", [(400, "abs(xxhash64(a, b, 1)) % 10 < 4", 20_000), (150, "concat_ws('-', a, b) IN ('5-140', '7-8', '90-141', '140-141')", 11_200)])
+def test_buckets_meet_in_rounds(spark, n, link, most):
+    """Members of a large bucket that early links bring together are not compared any more; a link that stands alone is found."""
+    shared = spark.createDataFrame([(1, i, 0, 10, (0, 0, 10)) for i in range(n)], "key long, node long, fp long, size int, hub struct<node: long, fp: long, size: int>")
+    seen = []
+
+    def verify(pairs):
+        seen.append(pairs.count())
+        return pairs.where(link)
+
+    got = {r["node"]: r["root"] for r in near.link_buckets(shared, 0, verify=verify).collect()}
+    ids = spark.range(n)
+    every = ids.select(F.col("id").alias("a")).crossJoin(ids.select(F.col("id").alias("b"))).where("a < b").where(link).collect()
+    root = list(range(n))
+    while any(root[a] != root[b] for a, b in every):
+        for a, b in every:
+            root[a] = root[b] = min(root[a], root[b])
+    assert [got.get(i, i) for i in range(n)] == root and len(every) > 3
+    assert sum(seen) < most
+
+
 def test_very_long_lines(spark):
     """Lines of a hundred thousand characters are compared by words, within seconds; tokens without blanks take the same way."""
     rng = np.random.default_rng(4)
