@@ -154,6 +154,20 @@ def test_buckets_drop_impossible_pairs(spark):
     assert seen and all(a % 2 == b % 2 for a, b in seen)
 
 
+def test_word_bits_lose_no_pair(spark):
+    """What has enough words in common passes the bits of the words; most lines of other words do not."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 400, 60)) for _ in range(25)]
+    texts += [" ".join(w if rng.random() > 0.3 else f"v{rng.integers(400)}" for w in t.split()) for t in texts] + [" ".join(["no"] * 70), " ".join(["no"] * 60 + ["yes"] * 10)]
+    table = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "i int, _t string, size int")
+    table = lines.with_word_bits(table.withColumn("_b", lines.varied_words(F.transform(F.split("_t", " "), lambda w: F.hash(w)))))
+    cols = ["i", "size", "_b", "n_different", *[f"c{k}" for k in range(len(lines.BAGS))]]
+    left, right = (table.select([F.col(c).alias(f"{side}_{c}") for c in cols]) for side in "lr")
+    enough, allowed = lines.common_words(F.col("l__b"), F.col("r__b")).alias("enough"), lines.words_allow("l_", "r_").alias("allowed")
+    rows = left.join(right, F.col("r_i") < F.col("l_i")).select(enough, allowed).collect()
+    assert sum(r["enough"] for r in rows) > 25 and all(r["allowed"] for r in rows if r["enough"]) and sum(r["allowed"] for r in rows) < len(rows) / 4
+
+
 @pytest.mark.parametrize("n, link, most", [(400, "abs(xxhash64(a, b, 1)) % 10 < 4", 20_000), (150, "concat_ws('-', a, b) IN ('5-140', '7-8', '90-141', '140-141')", 11_200)])
 def test_buckets_meet_in_rounds(spark, n, link, most):
     """Members of a large bucket that early links bring together are not compared any more; a link that stands alone is found."""
