@@ -168,6 +168,36 @@ def test_word_bits_lose_no_pair(spark):
     assert sum(r["enough"] for r in rows) > 25 and all(r["allowed"] for r in rows if r["enough"]) and sum(r["allowed"] for r in rows) < len(rows) / 4
 
 
+@pytest.mark.parametrize("n, kept, seeds", [(40, 20, [0, 10, 13, 140]), (24, 12, [6, 9, 10, 140])])
+def test_links_of_few_common_words(spark, n, kept, seeds):
+    """Lines that share blocks and have an edit similarity of 0.9 are linked, though one letter differs in half of their words (a third of all words is in common)."""
+    docs = []
+    for s in seeds:
+        rng = np.random.default_rng(s)
+        words = ["".join(rng.choice(list("abcdefghijklmnop"), 4)) for _ in range(n)]
+        at = int(rng.integers(0, n - kept + 1))
+        docs += [(2 * s, " ".join(words)), (2 * s + 1, " ".join(w if at <= i < at + kept else w[:2] + "z" + w[3:] for i, w in enumerate(words)))]
+    got = {r["doc_id"]: r["text"] for r in lines.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {d: "" if d % 2 else t for d, t in docs}
+
+
+def test_likely_hub_is_met_first(spark):
+    """A node of two buckets meets the likely one of their smallest nodes first, and the other one as well."""
+    def row(key, node, hub):
+        return (key, node, 0, 10, node % 2, (hub, 0, 10, hub % 2))
+
+    rows = [row(1, 2, 2), row(1, 9, 2), row(2, 3, 3), row(2, 9, 3)]
+    shared = spark.createDataFrame(rows, "key long, node long, fp long, size int, c int, hub struct<node: long, fp: long, size: int, c: int>")
+    seen = []
+
+    def verify(pairs):
+        seen.append({(r["a"], r["b"]) for r in pairs.collect()})
+        return pairs
+
+    got = near.link_buckets(shared, 0, 0.8, verify, ["c"], likely=lambda a, b: F.col(f"{a}c") == F.col(f"{b}c"))
+    assert seen[:2] == [{(3, 9)}, {(2, 9)}] and {(r["node"], r["root"]) for r in got.collect()} == {(n, 2) for n in (2, 3, 9)}
+
+
 @pytest.mark.parametrize("n, link, most", [(400, "abs(xxhash64(a, b, 1)) % 10 < 4", 20_000), (150, "concat_ws('-', a, b) IN ('5-140', '7-8', '90-141', '140-141')", 11_200)])
 def test_buckets_meet_in_rounds(spark, n, link, most):
     """Members of a large bucket that early links bring together are not compared any more; a link that stands alone is found."""
