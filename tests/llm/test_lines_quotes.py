@@ -231,6 +231,20 @@ def test_very_long_lines(spark):
     assert [bool(r["text"]) for r in lines.dedup_lines(df).orderBy("doc_id").collect()] == [True, False, True, True, True]
 
 
+def test_long_lines_by_characters(spark):
+    """Lines of over 2,048 characters link by their characters: a letter in each third word is few edits, a third of the words rewritten is too many."""
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), 5)) for _ in range(800)]
+    typos = [w[:2] + "z" + w[3:] if i >= 530 else w for i, w in enumerate(words)]
+    tail = "x" * 900  # one word of the 801, a sixth of the characters
+    head = [f"w{i}" for i in rng.integers(0, 5000, 700)]
+    docs = [(1, " ".join(words)), (2, " ".join(typos)), (3, " ".join([*head, tail])), (4, " ".join([*head, "y" * 900, "z" * 900]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = [bool(r["text"]) for r in lines.dedup_lines(df).orderBy("doc_id").collect()]
+    assert [edits(docs[i][1], docs[i + 1][1]) <= 0.2 * max(len(docs[i][1]), len(docs[i + 1][1])) for i in (0, 2)] == [True, False]
+    assert got == [True, False, True, True]
+
+
 def test_fuzzy_lines_query(spark, sf_dir, texts, odd, no_rows):
     rows = QUERIES["op6_fuzzy_lines"](spark, sf_dir).collect()
     assert len(rows) == len(texts) and sum(r["n_removed"] for r in rows) > 0
