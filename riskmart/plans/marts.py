@@ -1,8 +1,8 @@
 """Dimensions and facts of the star schema.
 
 Loads take the staged table, the dimensions and the existing target (or ``None``) and return the new target snapshot.
-Joins are plain equi-joins without hints, so the optimizer broadcasts a dimension only when its measured size allows it
-and splits skewed partitions otherwise.
+Joins are plain equi-joins, so the optimizer broadcasts a dimension of few names or days and splits skewed partitions otherwise. Sides that
+grow with the data are joined by sorting (:func:`riskmart.functions.expr.large`).
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskmart.functions.expr import large
 from riskmart.operators.keys import (
     dense_key, insert_missing, natural_key_hash, next_key, one_per_key, upsert)
 from riskmart.operators.snapshot import KeyedTable
@@ -56,7 +57,7 @@ def load_dim_transaction(fraud: DataFrame, types: DataFrame, dates: DataFrame, e
     rows = one_per_key(rows, ["TransactionID"], ["TransactionDateID"])
     if existing is None:
         return rows
-    return existing.unionByName(rows.join(existing, "TransactionID", "left_anti"))
+    return existing.unionByName(rows.join(large(existing), "TransactionID", "left_anti"))
 
 
 def load_dim_account(loans: DataFrame, customers: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -64,14 +65,14 @@ def load_dim_account(loans: DataFrame, customers: DataFrame, existing: DataFrame
     values = _present(loans, ["AccountType", "PaymentBehavior"])
     latest = one_per_key(loans.select("AccountID", "CustomerID", *values, "LoanDate", "LoanID"), ["AccountID"],
                          ["LoanDate", "LoanID"])
-    owned = latest.join(customers.filter("IsCurrent = 1").select("CustomerID", "CustomerSK"), "CustomerID").select(
+    owned = latest.join(large(customers.filter("IsCurrent = 1").select("CustomerID", "CustomerSK")), "CustomerID").select(
         "AccountID", *values, "CustomerSK")
     if existing is None:
         return dense_key(owned, ["AccountID"], "AccountSK").select("AccountSK", "CustomerSK", "AccountID", *values)
     owned = settle(owned)  # known and new accounts both come from it
-    updated = upsert(existing, owned.join(existing.select("AccountID"), "AccountID", "left_semi"), ["AccountID"],
+    updated = upsert(existing, owned.join(large(existing.select("AccountID")), "AccountID", "left_semi"), ["AccountID"],
                      [*values, "CustomerSK"])
-    fresh = owned.join(existing, "AccountID", "left_anti")
+    fresh = owned.join(large(existing), "AccountID", "left_anti")
     fresh = dense_key(fresh, ["AccountID"], "AccountSK", next_key(existing, "AccountSK"))
     return updated.unionByName(fresh, allowMissingColumns=True)
 
@@ -80,7 +81,7 @@ def stage_loans(loans: DataFrame, customers: DataFrame, types: DataFrame, dates:
     """Loans with resolved keys and the natural-key hash."""
     days = dates.select(F.col("FullDate").alias("_day"), F.col("DateID").alias("LoanDateID"))
     kinds = types.select(F.trim("LoanType").alias("_type"), "LoanTypeID")
-    owners = customers.filter("IsCurrent = 1").select("CustomerID", "CustomerSK")
+    owners = large(customers.filter("IsCurrent = 1").select("CustomerID", "CustomerSK"))
     return (
         loans.join(days, F.to_date("LoanDate") == F.col("_day"))
         .join(kinds, F.trim("LoanType") == F.col("_type"))
@@ -137,7 +138,7 @@ def fact_customer(loans: DataFrame, customers: DataFrame, dates: DataFrame, exis
         F.max("NumDependents").alias("NumDependents"),
     )
     days = dates.select(F.col("FullDate").alias("_day"), F.col("DateID").alias("DateSK"))
-    owners = customers.filter("IsCurrent = 1").select("CustomerID", "CustomerSK")
+    owners = large(customers.filter("IsCurrent = 1").select("CustomerID", "CustomerSK"))
     rows = daily.join(days, "_day").join(owners, "CustomerID").drop("_day", "CustomerID")
     rows = rows.select("CustomerSK", "DateSK", *[c for c in rows.columns if c not in ("CustomerSK", "DateSK")])
     if existing is None:
@@ -148,12 +149,12 @@ def fact_customer(loans: DataFrame, customers: DataFrame, dates: DataFrame, exis
 def fact_credit(loans: DataFrame, customers: DataFrame, accounts: DataFrame | None = None,
                 existing: DataFrame | None = None) -> DataFrame:
     """One credit row per staged loan of customers that have none yet; the account is the loan's own."""
-    owners = customers.filter("IsCurrent = 1").select("CustomerID", "CustomerSK")
+    owners = large(customers.filter("IsCurrent = 1").select("CustomerID", "CustomerSK"))
     rows = loans.join(owners, "CustomerID")
     if existing is not None:
-        rows = rows.join(existing.select("CustomerSK").distinct(), "CustomerSK", "left_anti")
+        rows = rows.join(large(existing.select("CustomerSK").distinct()), "CustomerSK", "left_anti")
     if accounts is not None:
-        rows = rows.join(accounts.select("AccountID", "AccountSK"), "AccountID", "left")
+        rows = rows.join(large(accounts.select("AccountID", "AccountSK")), "AccountID", "left")
     else:
         rows = rows.withColumn("AccountSK", F.lit(None).cast("bigint"))
     rows = rows.select("CustomerSK", "AccountSK", *_present(loans, CREDIT_VALUES), "LoanID")
@@ -167,23 +168,23 @@ def fact_account(loans: DataFrame, accounts: DataFrame, existing: DataFrame | No
     """Balances of accounts that have no balance row yet."""
     rows = accounts.select("AccountSK", "AccountID")
     if existing is not None:
-        rows = rows.join(existing.select("AccountSK"), "AccountSK", "left_anti")
-    rows = loans.select("AccountID", "AccountBalance").join(rows, "AccountID").select("AccountSK", "AccountID", "AccountBalance")
+        rows = rows.join(large(existing.select("AccountSK")), "AccountSK", "left_anti")
+    rows = loans.select("AccountID", "AccountBalance").join(large(rows), "AccountID").select("AccountSK", "AccountID", "AccountBalance")
     return rows if existing is None else existing.unionByName(rows)
 
 
 def fact_fraud(fraud: DataFrame, customers: DataFrame, transactions: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """One row per transaction of a current customer that is not loaded yet; of a transaction staged twice, the row that sorts last."""
-    owners = customers.filter("IsCurrent = 1").select("CustomerID", "CustomerSK")
+    owners = large(customers.filter("IsCurrent = 1").select("CustomerID", "CustomerSK"))
     rows = (
         fraud.join(owners, "CustomerID")
-        .join(transactions.select("TransactionID", "TransactionDateID"), "TransactionID")
+        .join(large(transactions.select("TransactionID", "TransactionDateID")), "TransactionID")
         .select("TransactionID", "TransactionDateID", "CustomerSK", *_present(fraud, FRAUD_VALUES))
     )
     rows = one_per_key(rows, ["CustomerSK", "TransactionID"], ["TransactionDateID"]).select(*rows.columns)
     if existing is None:
         return rows
-    return existing.unionByName(rows.join(existing, ["CustomerSK", "TransactionID"], "left_anti"), allowMissingColumns=True)
+    return existing.unionByName(rows.join(large(existing), ["CustomerSK", "TransactionID"], "left_anti"), allowMissingColumns=True)
 
 
 def fact_market(market: DataFrame, indexes: DataFrame, dates: DataFrame, existing: DataFrame | None = None) -> DataFrame:

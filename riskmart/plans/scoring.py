@@ -11,7 +11,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.functions.expr import attach_stats, band, floor_band
+from riskmart.functions.expr import attach_stats, band, floor_band, large
 from riskmart.operators.keys import upsert
 
 SCORE = "decimal(5,2)"
@@ -62,7 +62,7 @@ def _credit_parts(credit: DataFrame, customers: DataFrame, date_key: int, exact_
     cards = credit.groupBy("CustomerSK").agg(F.max(card).alias("_card"))
     reached = F.col("DateSK") == date_key if exact_date else F.col("DateSK") <= date_key
     snap = F.max(F.when(reached, F.struct("DateSK", "DebtToIncomeRatio")))
-    return customers.groupBy("CustomerSK").agg(snap.alias("_snap")).join(cards, "CustomerSK", "left")
+    return customers.groupBy("CustomerSK").agg(snap.alias("_snap")).join(large(cards), "CustomerSK", "left")
 
 
 def _credit_total() -> Column:
@@ -81,7 +81,7 @@ def credit_score(credit: DataFrame, customers: DataFrame, loans: DataFrame, date
 
     ``exact_date=True`` needs a customer snapshot on the very day, ``False`` takes the latest one up to it.
     """
-    parts = _credit_parts(credit, customers, date_key, exact_date).join(_loan_history(loans), "CustomerSK", "left")
+    parts = _credit_parts(credit, customers, date_key, exact_date).join(large(_loan_history(loans)), "CustomerSK", "left")
     return parts.select("CustomerSK", _credit_total().alias("CreditRiskScore"))
 
 
@@ -173,8 +173,8 @@ def risk_profile(customers: DataFrame, credit: DataFrame, loans: DataFrame, frau
     key = int(str(date).replace("-", ""))
     known = customers.filter(F.col("DateSK") <= key)
     # All parts are keyed by customer, so they meet on one partitioning; the loans are aggregated once for two scores.
-    base = _credit_parts(credit, known, key, exact_date).join(_loan_history(loans), "CustomerSK", "left")
-    base = base.join(fraud_score(fraud, date), "CustomerSK", "left")
+    base = _credit_parts(credit, known, key, exact_date).join(large(_loan_history(loans)), "CustomerSK", "left")
+    base = base.join(large(fraud_score(fraud, date)), "CustomerSK", "left")
     base = attach_stats(base, market_conditions(market, economy, date, country))
     base = base.select(
         "CustomerSK", F.lit(key).alias("DateID"), _credit_total().alias("CreditRiskScore"),
@@ -184,7 +184,7 @@ def risk_profile(customers: DataFrame, credit: DataFrame, loans: DataFrame, frau
     if profile is None:
         base = base.withColumn("PreviousAggregateRiskScore", F.lit(Decimal("0.00")).cast(SCORE))
     else:
-        base = base.join(previous_score(profile, key), "CustomerSK", "left").withColumn(
+        base = base.join(large(previous_score(profile, key)), "CustomerSK", "left").withColumn(
             "PreviousAggregateRiskScore",
             F.coalesce("PreviousAggregateRiskScore", F.lit(Decimal("0.00"))).cast(SCORE))
     return trend_and_category(base).select(

@@ -6,6 +6,7 @@ import pytest
 
 from riskmart.operators.keys import upsert
 from riskmart.operators.scd import scd2_apply, scd2_start
+from riskmart.plans import marts
 from riskmart.queries import QUERIES
 from riskmart.queries.compose import staged as staged_tables
 from riskmart.queries.registry import Inputs
@@ -80,3 +81,19 @@ def test_a_changed_batch_is_grouped_once(spark):
     out = scd2_apply(first, batch, "k", ["v"], "2024-02-01", "sk")
     assert "any_value" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert {(r["k"], r["v"], r["IsCurrent"]) for r in out.collect()} == {(1, "a", 1), (2, "b", 0), (2, "c", 1), (3, "d", 1)}
+
+
+def test_keys_of_customers_are_not_broadcast(spark):
+    """Small or not: a size by compressed files decides before a join has run, and millions of keys then fill the driver. Days alone are broadcast."""
+    customers = spark.createDataFrame([(1, 1, 1), (2, 2, 1)], "CustomerSK long, CustomerID long, IsCurrent int")
+    accounts = spark.createDataFrame([(1, "a"), (2, "b")], "AccountSK long, AccountID string")
+    loans = spark.createDataFrame([("a", 5.0), ("b", 6.0)], "AccountID string, AccountBalance double")
+    old = spark.createDataFrame([(1, "a", 4.0)], "AccountSK long, AccountID string, AccountBalance double")
+    balances = marts.fact_account(loans, accounts, old)
+    assert "Broadcast" not in plan(balances) and {tuple(r) for r in balances.collect()} == {(1, "a", 4.0), (2, "b", 6.0)}
+    fraud = spark.createDataFrame([("t", 1, 0), ("u", 2, 1), ("v", 9, 1)], "TransactionID string, CustomerID long, IsFraudulent int")
+    days = spark.createDataFrame([("t", 20240101), ("u", 20240102), ("v", 20240102)], "TransactionID string, TransactionDateID int")
+    first = marts.fact_fraud(fraud, customers, days)
+    again = marts.fact_fraud(fraud, customers, days, first)
+    assert "Broadcast" not in plan(first) + plan(again)
+    assert {tuple(r) for r in again.collect()} == {("t", 20240101, 1, 0), ("u", 20240102, 2, 1)}
